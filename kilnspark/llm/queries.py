@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
+from .bpe import encode_corpus
 from .grouptop import best_papers
+from .survivor import BUNDLES, survivors
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -13,18 +15,45 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return best_papers(table(spark, d, "screening")).select("shard_id", "branch", "corpus_index")
 
 
-QUERIES = {"p3_found": p3_found}
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving record of each duplicate group."""
+    return survivors(table(spark, d, "cementitious")).select("duplicate_group_id", "record_id", "complementary_fields_filled")
+
+
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids of all documents."""
+    return encode_corpus(table(spark, d, "documents"))
+
+
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p8_ids": p8_ids}
+
+_FIELDS = [f for b in BUNDLES.values() for f in b]
+_MISSING = "('', 'n.a.', 'na', 'n/a', 'not reported', 'unknown', 'not available')"
+_HAS = {f: f"(coalesce(lower(trim({f}, ' \t\r\n')), '') NOT IN {_MISSING})::INT" for f in _FIELDS}
 
 SQL = {
     "p3_found": r"""
 WITH l AS (
   SELECT shard_id, corpus_index, confidence,
          list_distinct(list_filter(list_transform(string_split(coalesce(matched_taxonomy_branches, ''), ';'),
-           x -> regexp_replace(lower(regexp_replace(x, '^[\s\x{00A0}]+|[\s\x{00A0}]+$', '', 'g')), '[\s\x{00A0}]+', '_', 'g')),
-           x -> x NOT IN ('', 'n.a.', 'na', 'n/a', 'not_reported', 'unknown', 'not_available'))) AS b
+           lambda x: regexp_replace(lower(regexp_replace(x, '^[\s\x{00A0}]+|[\s\x{00A0}]+$', '', 'g')), '[\s\x{00A0}]+', '_', 'g')),
+           lambda x: x NOT IN ('', 'n.a.', 'na', 'n/a', 'not_reported', 'unknown', 'not_available'))) AS b
   FROM screening WHERE confidence >= 0 AND confidence <= 1 AND shard_id IS NOT NULL AND corpus_index IS NOT NULL),
 e AS (SELECT shard_id, corpus_index, confidence, unnest(CASE WHEN len(b) = 0 THEN ['unknown'] ELSE b END) AS branch FROM l),
 m AS (SELECT shard_id, branch, corpus_index, max(confidence) AS c FROM e GROUP BY ALL)
 SELECT shard_id, branch, corpus_index FROM m
 QUALIFY row_number() OVER (PARTITION BY shard_id, branch ORDER BY c DESC, corpus_index) <= 5""",
+    "p4_found": f"""
+WITH r AS (
+  SELECT duplicate_group_id, record_id, {", ".join(f"{x} AS h_{f}" for f, x in _HAS.items())}, {" + ".join(_HAS.values())} AS n,
+    epoch_us(coalesce(
+      CASE WHEN regexp_matches(trim(retrieval_timestamp), '^[0-9]{{9,10}}$') THEN make_timestamptz(trim(retrieval_timestamp)::BIGINT * 1000000) END,
+      CASE WHEN regexp_matches(trim(retrieval_timestamp), '^[0-9]{{4}}-.*(Z|[+-][0-9]{{2}}:[0-9]{{2}})$') THEN try_cast(trim(retrieval_timestamp) AS TIMESTAMPTZ) END,
+      CASE WHEN regexp_matches(trim(retrieval_timestamp), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9:]+$') THEN try_cast(trim(retrieval_timestamp) || '+00' AS TIMESTAMPTZ) END,
+      try_strptime(trim(retrieval_timestamp) || ' +00', '%d %b %Y %H:%M %z'))) AS t
+  FROM cementitious WHERE coalesce(lower(trim(duplicate_group_id)), '') NOT IN {_MISSING} AND record_id IS NOT NULL),
+s AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY duplicate_group_id ORDER BY n DESC, t DESC NULLS LAST, record_id) = 1),
+a AS (SELECT duplicate_group_id, {", ".join(f"max(h_{f}) AS a_{f}" for f in _FIELDS)} FROM r GROUP BY 1 HAVING count(DISTINCT record_id) > 1)
+SELECT duplicate_group_id, record_id, ({" + ".join(f"a_{f} - h_{f}" for f in _FIELDS)})::BIGINT AS complementary_fields_filled
+FROM s JOIN a USING (duplicate_group_id)""",
 }
