@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
 from .bpe import encode_corpus
+from .canonical import canonical_names
 from .grouptop import best_papers
 from .survivor import BUNDLES, survivors
 
@@ -20,12 +21,17 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return survivors(table(spark, d, "cementitious")).select("duplicate_group_id", "record_id", "complementary_fields_filled")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Material and technology names on the canonical lists."""
+    return canonical_names(table(spark, d, "scm_discovery"), table(spark, d, "cementitious"), table(spark, d, "canonical_names"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of all documents."""
     return encode_corpus(table(spark, d, "documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p8_ids": p8_ids}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids}
 
 _FIELDS = [f for b in BUNDLES.values() for f in b]
 _MISSING = "('', 'n.a.', 'na', 'n/a', 'not reported', 'unknown', 'not available')"
