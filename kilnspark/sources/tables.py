@@ -8,3 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of ``folder`` (one file or a directory of files)."""
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the session's checkpoint folder and read from there, so its lineage ends.
+
+    The folder is the one in spark.checkpoint.dir, which all executors share; only where it is unset (as in tests) a local one is made.
+    """
+    sc = df.sparkSession.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            import tempfile
+
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()
