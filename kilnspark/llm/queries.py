@@ -8,6 +8,7 @@ from ..sources.tables import table
 from .bpe import encode_corpus
 from .canonical import canonical_names
 from .grouptop import best_papers
+from .names import link_names, name_pairs
 from .survivor import BUNDLES, survivors
 
 
@@ -26,12 +27,18 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical_names(table(spark, d, "scm_discovery"), table(spark, d, "cementitious"), table(spark, d, "canonical_names"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of spellings of the same organisation."""
+    columns = [("cementitious", "company_or_organization"), ("scm_discovery", "company_or_organization"), ("company_intel", "name")]
+    return name_pairs(link_names([(table(spark, d, t), c) for t, c in columns]))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of all documents."""
     return encode_corpus(table(spark, d, "documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids}
 
 _FIELDS = [f for b in BUNDLES.values() for f in b]
 _MISSING = "('', 'n.a.', 'na', 'n/a', 'not reported', 'unknown', 'not available')"
