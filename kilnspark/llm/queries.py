@@ -8,6 +8,8 @@ from ..sources.tables import table
 from .bpe import encode_corpus
 from .canonical import canonical_names
 from .grouptop import best_papers
+from .leakage import find_leaks
+from .level import reading_levels
 from .names import link_names, name_pairs
 from .survivor import BUNDLES, survivors
 
@@ -38,7 +40,17 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold passages of evaluation items."""
+    return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """The reading level of each English prose document."""
+    return reading_levels(table(spark, d, "documents"), table(spark, d, "level_samples"))
+
+
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 
 _FIELDS = [f for b in BUNDLES.values() for f in b]
 _MISSING = "('', 'n.a.', 'na', 'n/a', 'not reported', 'unknown', 'not available')"
