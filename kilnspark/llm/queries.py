@@ -11,9 +11,15 @@ from .grouptop import best_papers
 from .leakage import find_leaks
 from .level import reading_levels
 from .names import link_names, name_pairs
+from .pagebody import page_bodies
 from .survivor import BUNDLES, survivors
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of the main body of pages and snippets."""
+    return page_bodies(table(spark, d, "web_stages"), table(spark, d, "registered_sources"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """The best five papers of each branch and shard."""
     return best_papers(table(spark, d, "screening")).select("shard_id", "branch", "corpus_index")
@@ -50,7 +56,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return reading_levels(table(spark, d, "documents"), table(spark, d, "level_samples"))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 
 _FIELDS = [f for b in BUNDLES.values() for f in b]
 _MISSING = "('', 'n.a.', 'na', 'n/a', 'not reported', 'unknown', 'not available')"
