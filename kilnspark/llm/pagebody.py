@@ -38,7 +38,8 @@ FURNITURE = {
     "advert": [r"^sponsored\b", r"^job of the day\b", r"^upcoming webinar\b", r"^download our free\b", r"^subscribe to our\b", r"^(?:sign up|register) (?:for|to) our\b"],
     "breadcrumb": [r"^[A-Z][\w ]{1,30}(?: [>›»/] [\w ,-]{1,60}){1,6}$"],
 }
-_FURNITURE = re.compile("|".join(f"(?P<{k}_{i}>{p})" for k, ps in FURNITURE.items() for i, p in enumerate(ps)), re.I)
+_AT_START = re.compile("|".join(f"(?P<{k}_{i}>{p[1:]})" for k, ps in FURNITURE.items() for i, p in enumerate(ps) if p[0] == "^"), re.I)
+_ANYWHERE = re.compile("|".join(f"(?P<{k}_{i}>{p})" for k, ps in FURNITURE.items() for i, p in enumerate(ps) if p[0] != "^"), re.I)
 _MENU = re.compile(r"^(?:[-*•·]\s+)?([A-Z][\w&'’]*(?: [\w&'’]+){0,2})$")
 _CELLS = re.compile(r"\s*\|\s*|\s{3,}|\s+·\s+|\t+")
 _BULLET = re.compile(r"^(?:[-*•·]|\d{1,2}[.)])\s+")
@@ -52,7 +53,7 @@ def kinds(lines: list[str], menu: frozenset[str]) -> list[str]:
     """The presentation kind of each stripped, non-blank line of a page, in order. ``menu`` holds the host's words of menus."""
     out = []
     for s in lines:
-        m = _FURNITURE.search(s) if len(s) < 400 else None
+        m = (_AT_START.match(s) or _ANYWHERE.search(s)) if len(s) < 400 else None
         if m:
             out.append(m.lastgroup.partition("_")[0])
         elif len(c := _cells(s)) > 2 and not any(ch.isdigit() for ch in s) and sum(x in menu for x in c) * 2 > len(c):
