@@ -18,15 +18,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_WORD = re.compile(r"[^\W_]+")
-_DIGITS = re.compile(r"(?<=\d)[.,\s](?=\d)")
+_WORD = re.compile(r"\w+")
+_DIGITS = re.compile(r"(\d)[.,\s](?=\d)")
 _SIZE = 3  # words a shingle; passages may have single words changed, longer shingles would break at each
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 def words(text: str) -> list[str]:
     """Runs of letters and digits in lower case; marks and blanks inside numbers go (4,515 and 4 515 are 4515)."""
-    return _WORD.findall(_DIGITS.sub("", text.lower()))
+    return _WORD.findall(_DIGITS.sub(r"\1", text.lower().replace("_", " ")))
 
 
 def passage(text: str) -> str:
@@ -34,25 +34,26 @@ def passage(text: str) -> str:
     return re.sub(r"(?:^|(?<=[.!?])\s+|\n)[^.!?\n]*\?\s*$", "", text.strip())
 
 
+class _Hashes(dict):
+    """word -> 64-bit hash, filled on demand."""
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
 class Hasher:
     """64-bit hashes of words and of runs of three words."""
 
     def __init__(self) -> None:
-        self.seen: dict[str, int] = {}
+        self.seen = _Hashes()
 
     def words(self, ws: list[str]) -> np.ndarray:
-        import xxhash
-
-        seen = self.seen
-        if len(seen) > 500_000:
-            seen.clear()
-        out = np.empty(len(ws), np.uint64)
-        for i, w in enumerate(ws):
-            h = seen.get(w)
-            if h is None:
-                h = seen[w] = xxhash.xxh64_intdigest(w)
-            out[i] = h
-        return out
+        if len(self.seen) > 500_000:
+            self.seen.clear()
+        return np.fromiter(map(self.seen.__getitem__, ws), np.uint64, len(ws))
 
     @staticmethod
     def shingles(h: np.ndarray) -> np.ndarray:
@@ -106,9 +107,9 @@ def build_index(rows: list[tuple[object, str]], share: float = 1 / 3, pieces: in
         piece = max(2, int(low * share / pieces))
         least = piece / (window + high - piece)
         n = math.ceil(math.log(miss) / math.log(1 - least))
-        c = SizeClass(window, rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1))
+        c = SizeClass(window, rng.integers(1, 1 << 32, n, dtype=np.uint32) | np.uint32(1))
         for f in c.factors:
-            v = np.array([(sets[i] * f).min() for i in members])
+            v = np.array([(sets[i].astype(np.uint32) * f).min() for i in members])
             order = np.argsort(v, kind="stable")
             c.values.append(v[order])
             c.items.append(np.array(members)[order])
@@ -116,11 +117,13 @@ def build_index(rows: list[tuple[object, str]], share: float = 1 / 3, pieces: in
     return Index(ids, sets, own, classes)
 
 
-def candidates(index: Index, sh: np.ndarray, ends: np.ndarray) -> set[tuple[int, int]]:
-    """(document, item) pairs, by place, that share a MinHash value in some window. ``sh`` holds the shingles of all documents in
+def candidates(index: Index, sh: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of documents and items, pair by pair, that share a MinHash value in some window. ``sh`` holds the shingles of all documents in
     a row, ``ends`` where each ends."""
-    found: set[tuple[int, int]] = set()
+    found = [np.zeros(0, np.int64)]
+    n = max(1, len(index.ids))
     begins = np.r_[0, ends[:-1]]
+    low32 = sh.astype(np.uint32)
     for c in index.classes:
         half = max(1, c.window // 2)
         sizes = ends - begins
@@ -129,19 +132,34 @@ def candidates(index: Index, sh: np.ndarray, ends: np.ndarray) -> set[tuple[int,
         if not len(doc):
             continue
         first = np.repeat(begins - np.r_[0, np.cumsum(blocks)[:-1]] * half, blocks) + np.arange(len(doc)) * half
-        joined = np.r_[doc[:-1] == doc[1:], False]
+        last = np.repeat(ends, blocks) - 1
+        block = low32[np.minimum(first + np.arange(half)[:, None], last)]  # half x blocks; a short block repeats its last shingle
+        joined = np.flatnonzero(doc[:-1] == doc[1:])
         for f, values, items in zip(c.factors, c.values, c.items):
-            low = np.minimum.reduceat(sh * f, first)
-            low[:-1] = np.where(joined[:-1], np.minimum(low[:-1], low[1:]), low[:-1])  # two blocks are a window
-            at = np.searchsorted(values, low)
-            at[at == len(values)] = 0
-            hit = np.flatnonzero(values[at] == low)
-            for w in hit:
-                j = at[w]
-                while j < len(values) and values[j] == low[w]:
-                    found.add((int(doc[w]), int(items[j])))
-                    j += 1
-    return found
+            low = (block * f).min(axis=0)
+            if len(joined):
+                low[joined] = np.minimum(low[joined], low[joined + 1])  # two blocks are a window
+            at, to = np.searchsorted(values, low), np.searchsorted(values, low, side="right")
+            hit = np.flatnonzero(at < to)
+            if len(hit):
+                many = to[hit] - at[hit]
+                which = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - at[hit], many)
+                found.append(np.repeat(doc[hit], many) * n + items[which])
+    pairs = np.unique(np.concatenate(found))
+    return pairs // n, pairs % n
+
+
+def shares(sets: list[np.ndarray], which: np.ndarray, docs: np.ndarray, sh: np.ndarray, doc_of: np.ndarray) -> np.ndarray:
+    """For each pair (set ``which``, document ``docs``) the share of the set's shingles in the document; NaN for an empty set."""
+    salt = lambda d: (d.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    sizes = np.array([len(sets[i]) for i in which], np.int64)
+    if not sizes.sum():
+        return np.full(len(which), np.nan)
+    inside = np.isin(np.concatenate([sets[i] for i in which]) ^ salt(np.repeat(docs, sizes)), sh ^ salt(doc_of))
+    total = np.r_[0, np.cumsum(inside)]
+    ends = np.cumsum(sizes)
+    with np.errstate(invalid="ignore"):
+        return (total[ends] - total[ends - sizes]) / sizes
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", contained: float = 0.2, distinctive: float = 0.17, block: int = 5000, chunk: int = 40_000) -> DataFrame:
@@ -168,13 +186,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
             def search(keys: list, parts: list[np.ndarray]) -> list[tuple]:
                 sh, ends = np.concatenate(parts), np.cumsum([len(p) for p in parts])
-                out = []
-                for n, i in sorted(candidates(ix, sh, ends)):
-                    c = np.isin(ix.shingles[i], parts[n]).mean()
-                    o = np.isin(ix.own[i], parts[n]).mean() if len(ix.own[i]) else c
-                    if c >= contained and o >= distinctive:
-                        out.append((keys[n], ix.ids[i], float(c), float(o)))
-                return out
+                docs, items = candidates(ix, sh, ends)
+                doc_of = np.repeat(np.arange(len(ends)), np.diff(np.r_[0, ends]))
+                c = shares(ix.shingles, items, docs, sh, doc_of)
+                keep = c >= contained
+                docs, items, c = docs[keep], items[keep], c[keep]
+                o = shares(ix.own, items, docs, sh, doc_of)
+                o = np.where(np.isnan(o), c, o)
+                return [(keys[n], ix.ids[i], float(x), float(y)) for n, i, x, y in zip(docs, items, c, o) if y >= distinctive]
 
             for b in batches:
                 hits: list[tuple] = []

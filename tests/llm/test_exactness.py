@@ -94,10 +94,21 @@ def test_minhash_recall_against_brute_force():
         doc = _passage(rng, rng.randint(0, 2000)) + w[at : at + size] + _passage(rng, rng.randint(0, 500))
         parts.append(h.shingles(h.words(leakage.words(" ".join(doc)))))
         truth.add((n, i))
-    found = leakage.candidates(index, np.concatenate(parts), np.cumsum([len(p) for p in parts]))
+    found = set(zip(*map(list, leakage.candidates(index, np.concatenate(parts), np.cumsum([len(p) for p in parts])))))
     assert len(truth & found) >= 0.99 * len(truth)
 
 
+def test_shares_equal_counting():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 50, n).astype(np.uint64)) for n in (5, 20, 0, 30)]
+    docs = [rng.integers(0, 50, n).astype(np.uint64) for n in (10, 40, 1)]
+    sh, of = np.concatenate(docs), np.repeat(np.arange(3), [10, 40, 1])
+    which, where = np.repeat(np.arange(4), 3), np.tile(np.arange(3), 4)
+    got = leakage.shares(sets, which, where, sh, of)
+    for g, i, n in zip(got, which, where):
+        assert np.isnan(g) if not len(sets[i]) else g == np.isin(sets[i], docs[n]).mean()
+
+
 def test_words_and_passages():
     assert leakage.words("At 4,515 m — 0.45 x!") == ["at", "4515", "m", "045", "x"] == leakage.words("AT 4 515 m 0 45 X")
     assert leakage.passage("One. Two.\nWhat next?") == "One. Two." and leakage.passage("One. Two. How many?") == "One. Two."
