@@ -9,6 +9,7 @@ words make at the usual length of a sentence of its level.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,10 +43,11 @@ def is_english_prose(ws: list[str], text: str, known: dict[str, int], least: flo
     """
     if not ws:
         return False
-    n = {k: sum(w in words for w in ws) for k, words in _LISTS.items()}
+    count = Counter(ws)
+    n = {k: sum(count[w] for w in words if w in count) for k, words in _LISTS.items()}
     if n["en"] <= 1.5 * max(v for k, v in n.items() if k != "en"):
         return False
-    if n["en"] < least * len(ws) and (n["en"] < 0.04 * len(ws) or sum(w in known for w in ws) < 0.6 * len(ws)):
+    if n["en"] < least * len(ws) and (n["en"] < 0.04 * len(ws) or sum(c for w, c in count.items() if w in known) < 0.6 * len(ws)):
         return False
     return text.count("|") * 20 < len(ws) and len(_NUMBER.findall(text)) * 4 < len(ws)
 
@@ -96,20 +98,22 @@ def sentences(text: str) -> list[str]:
 def pieces(x: np.ndarray, prior: np.ndarray, change: float = 12.0) -> list[tuple[int, int]]:
     """(words, level) of the stretches of one level in a run of words with scores ``x``: the likeliest way, a change of level
     costing ``change``."""
-    best, back = x[0] + prior, np.zeros(x.shape, int)
-    own = np.arange(x.shape[1])
-    for i in range(1, len(x)):
-        top = int(np.argmax(best))
-        switch = best[top] - change > best
-        back[i] = np.where(switch, top, own)
-        best = np.where(switch, best[top] - change, best) + x[i]
-    k, out = int(np.argmax(best)), []
-    for i in range(len(x) - 1, -1, -1):
+    rows = x.tolist()
+    best = [a + b for a, b in zip(rows[0], prior.tolist())]
+    own, back = range(len(best)), []
+    for row in rows[1:]:
+        high = max(best)
+        top, floor = best.index(high), high - change
+        back.append([k if best[k] >= floor else top for k in own])
+        best = [(v if v >= floor else floor) + r for v, r in zip(best, row)]
+    k, out = best.index(max(best)), []
+    for i in range(len(rows) - 1, -1, -1):
         if out and out[-1][1] == k:
             out[-1] = (out[-1][0] + 1, k)
         else:
             out.append((1, k))
-        k = int(back[i][k])
+        if i:
+            k = back[i - 1][k]
     return out
 
 
