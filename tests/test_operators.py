@@ -83,3 +83,20 @@ def test_text(spark, unit):
 
     r = spark.createDataFrame([(" N.A. ",), (" unknown",), ("x",), (None,)], "c string").select(T.present("c").alias("p"), T.fold("c").alias("f"), T.squeeze("c").alias("s")).collect()
     assert [x.p for x in r] == [False, False, True, False] and r[1].s == "unknown"
+
+
+def test_spans_and_matching(spark, rows):
+    from kilnspark.functions import spans
+    from kilnspark.operators import matching
+
+    df = spark.createDataFrame([(1, "No hit. It rose 5 percent here today. Up 7 percent [3][3]"), (2, None), (3, "")], "id int, t string")
+    r = {x.id: x for x in df.select("id", spans.best_span(F.col("t"), ["percent", "rose"]).alias("b"), spans.numeric_span(F.col("t"), "percent").alias("n")).collect()}
+    assert (r[1].b.score, r[1].b.span, r[1].n) == (2, "It rose 5 percent here today", "Up 7 percent [3][3]") and r[2].b is None and r[3].n is None
+    assert rows(matching.citation_marks(df, "id", "t")) == [(1, 3, 2)]
+    h = spark.createDataFrame([("a.b.example",), ("xb.example",), ("b.example",), (None,)], "host string")
+    rules = spark.createDataFrame([("b.example", 1), ("example", 7)], "suffix string, rank int")
+    assert rows(matching.by_host_suffix(h, "host", rules, "suffix"), "host", "rank") == [(None, None), ("a.b.example", 1), ("b.example", 1), ("xb.example", 7)]
+    n = spark.createDataFrame([(9, "Fly ash"), (8, ""), (7, "ash")], "ref int, name string")
+    t = spark.createDataFrame([(1, "wet FLY-ash mix"), (2, "flying ashes"), (3, None)], "id int, t string")
+    assert rows(matching.contained_names(t, "id", "t", n, "ref", "name")) == [(1, 7), (1, 9)]
+    assert matching.contained_names(t, "id", "t", n.limit(0), "ref", "name").count() == 0
