@@ -126,9 +126,15 @@ def spellings() -> dict[str, str]:
 
 
 def unit_table(spark: SparkSession) -> DataFrame:
-    """(unit_key, quantity, a, b): one row per written form. Bounded by configuration (about a thousand short rows)."""
-    units = compose()
-    return spark.createDataFrame([(k, *units[u]) for k, u in sorted(spellings().items())], "unit_key string, quantity string, a double, b double")
+    """(unit_key, quantity, a, b): one row per written form, also behind 'thousand' and 'million'. Bounded by configuration (a few
+    thousand short rows)."""
+    units, forms = compose(), spellings()
+    rows = {k: units[u] for k, u in forms.items()}
+    for word, times in (("thousand", 1e3), ("million", 1e6)):
+        for k, u in forms.items():
+            q, a, b = units[u]
+            rows.setdefault(word + k, (q, a * times, b))
+    return spark.createDataFrame([(k, *v) for k, v in sorted(rows.items())], "unit_key string, quantity string, a double, b double")
 
 
 def unit_key(c: Column) -> Column:
