@@ -79,7 +79,7 @@ def url_key(url: Column | str, tracking: Sequence[str] = TRACKING) -> Column:
 def phrase_in(text: Column, phrase: str) -> Column:
     """Whether a phrase stands in a lower-case text: whole word for phrases of up to four letters or digits, else anywhere."""
     if len(phrase) <= 4 and phrase.isalnum():
-        return text.rlike(rf"(?:^|[^a-z0-9]){phrase}(?:$|[^a-z0-9])")
+        return text.contains(phrase) & text.rlike(rf"(?:^|[^a-z0-9]){phrase}(?:$|[^a-z0-9])")  # the regex only where it can match
     return text.contains(phrase)
 
 
