@@ -1,16 +1,21 @@
 """Main body of pages by a site style tree over lines.
 
-Pages of one host are merged into a tree: host - presentation kind (menu, notice, sharing, heading, list, table, prose ...) - line. A
-line's content importance is 1 - log(m) / log(M) for a line found on m of the host's M pages: the entropy of its places, as the
-style tree defines it, 1 for a line of one page and 0 for one on every page. A presentation node's importance is that of its kind:
-the kinds of page furniture have none, since teasers and adverts change from page to page as prose does and entropy alone
-would keep them; the others take the mean of their lines. A section - a heading with its list or table - is one branch, so that
-headings and table heads, which repeat, are judged with what they head. Branches of low importance are removed from each page.
+Pages of one host are merged into a tree: host - presentation kind (menu, notice, sharing, heading, list, table, prose ...) - form
+of line - line. What stands in a host's pages for tags and classes is the form of a line, so the kinds are told by forms.
+
+* Content importance of a line: 1 - log(m) / log(M) for a line on m of the host's M pages, the entropy of its places; 1 for a line of
+  one page, 0 for one on every page.
+* Presentation importance of a kind: the mean of the same measure over its forms (text with numbers and names masked), over all
+  hosts with enough pages. Furniture repeats its forms from page to page, even where a teaser's words change; prose does not.
+
+Kinds far less important than prose are pruned. The rest is judged by content, a heading with its list or table as one branch, since
+headings and table heads repeat and the rows below do not.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,16 +87,31 @@ def kinds(lines: list[str], menu: frozenset[str]) -> list[str]:
     return out
 
 
-def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3, least_pages: int = 8, origin: str = "") -> DataFrame:
-    """(origin, row_key, line_no): the non-blank lines of each text that belong to its main body; lines end at \\n, count from 1.
+_MASK = re.compile(r"\d+(?:[.,]\d+)*|(?<=[a-z,;:] )[A-Z]\w*")
+_MARKS = re.compile(r"[^\w\s'’-]")
+
+
+def form(s: str) -> str:
+    """The form of a line: numbers and names masked; of a line that ends no sentence only its first word and its marks."""
+    if s[-1] in ".!?…" or len(s) > 120:
+        return _MASK.sub("0", s)
+    return _MASK.sub("0", s.split(None, 1)[0]) + " ".join(_MARKS.findall(_MASK.sub("0", s)))
+
+
+def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3, weight: float = 0.85, least_pages: int = 8) -> DataFrame:
+    """(row_key, line_no): the non-blank lines of each text that belong to its main body; lines end at \\n, count from 1.
 
     NULL, blank and no-data texts give no rows; neither do 'None' and 'Unavailable' alone. A text delivered twice under one key counts once (one
-    delivery, the smallest text, is taken if they differ). A NULL host is a host of its own. Hosts of fewer than
-    ``least_pages`` pages are too few to tell what repeats, there the kinds alone decide. Very long texts are read whole.
+    delivery, the smallest text, is taken if they differ). A NULL host is a host of its own. Very long texts are read whole.
 
-    Plan: one shuffle of pages by key for deliveries; lines are read in Python once and written to the checkpoint folder; counting
-    (host, line) is a partial aggregation, so a hot host's notice leaves one row a task. What is joined back are only lines
-    of low importance, at most 1/share of a page's lines a host.
+    A kind is pruned if its importance is less than ``weight`` times that of prose; a branch, if its lines' mean is below ``low``.
+    Hosts of fewer than ``least_pages`` pages are too few to tell what repeats; a kind that no larger host shows counts as
+    furniture if :data:`FURNITURE` or a menu, and as content otherwise.
+
+    Plan: one shuffle of pages by key for deliveries; lines are read in Python once and written to the checkpoint folder, with the
+    counts of forms summed up per batch; counting (host, line) is a partial aggregation, so a hot host's notice leaves one row a
+    task. What is joined back are only lines of low importance, at most 1 / share of a page's lines a host. A dozen kinds'
+    importances come to the driver.
     """
     from ..sources.tables import checkpointed
 
@@ -103,29 +123,47 @@ def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
+        short = lambda x: xxhash.xxh64_intdigest(x) - (1 << 63)
         for b in batches:
             out: tuple[list, ...] = ([], [], [], [], [], [])
+            forms: Counter = Counter()
             for k, h, t in zip(b["row_key"], b["host"], b["text"]):
                 at = [(n, s) for n, line in enumerate(t.split("\n"), 1) if (s := line.strip())]
                 ks = kinds([s for _, s in at], menu)
-                section, branch = 0, []
-                for i, kind in enumerate(ks):
+                forms.update({(h, kind, form(s)) for (_, s), kind in zip(at, ks)})
+                section = 0
+                for i, ((n, s), kind) in enumerate(zip(at, ks)):
                     section += kind in ("heading", "prose") or kind in ("head", "list") and (i == 0 or ks[i - 1] not in ("heading", kind))
-                    branch.append(section)
-                for (n, s), kind, sec in zip(at, ks, branch):
-                    if kind in FURNITURE or kind == "menu":
-                        continue
-                    out[0].append(k), out[1].append(h), out[2].append(n), out[3].append(sec), out[4].append(kind), out[5].append(xxhash.xxh64_intdigest(s) - (1 << 63))
+                    branch = -n if kind == "menu" or kind in FURNITURE else section
+                    out[0].append(k), out[1].append(h), out[2].append(n), out[3].append(branch), out[4].append(kind), out[5].append(short(s))
+            for (h, kind, f), n in forms.items():  # counts of forms, in the same table: no key, pages as number
+                out[0].append(None), out[1].append(h), out[2].append(n), out[3].append(0), out[4].append(kind), out[5].append(short(f))
             yield pd.DataFrame({"row_key": out[0], "host": out[1], "line_no": np.array(out[2], "int32"), "branch": np.array(out[3], "int32"), "kind": out[4], "line": np.array(out[5], "int64")})
 
-    lines = checkpointed(p.mapInPandas(run, "row_key string, host string, line_no int, branch int, kind string, line long"))
+    read = checkpointed(p.mapInPandas(run, "row_key string, host string, line_no int, branch int, kind string, line long"))
     size = p.groupBy("host").agg(F.count("*").alias("of")).where(F.col("of") >= least_pages)
-    seen = lines.select("host", "line", "row_key").groupBy("host", "line").agg(F.count("*").alias("m"))
-    importance = seen.where("m > 1").join(size, "host").select("host", "line", (1 - F.log(F.least("m", "of")) / F.log("of")).alias("importance")).where(F.col("importance") < 0.7)
+    entropy = 1 - F.log(F.least("m", "of")) / F.log("of")
+    forms = read.where("row_key IS NULL").groupBy("host", "kind", "line").agg(F.sum("line_no").alias("m")).join(size, "host")
+    of_kind = {r[0]: r[1] for r in forms.groupBy("kind").agg(F.sum(entropy * F.col("m")) / F.sum("m")).collect()}  # at most a dozen kinds
+    pruned = noise_kinds(of_kind, weight)
+
+    lines = read.where(F.col("row_key").isNotNull() & ~F.col("kind").isin(*pruned)).drop("kind")
+    seen = lines.groupBy("host", "line").agg(F.count("*").alias("m"))
+    importance = seen.where("m > 1").join(size, "host").select("host", "line", entropy.alias("importance")).where(F.col("importance") < 0.7)
     weighed = lines.join(importance, ["host", "line"], "left").withColumn("importance", F.coalesce("importance", F.lit(1.0)))
     poor = weighed.groupBy("row_key", "branch").agg(F.avg("importance").alias("of_branch")).where(F.col("of_branch") < low)
-    kept = lines.join(poor, ["row_key", "branch"], "left_anti")
-    return kept.select(F.lit(origin).alias("origin"), "row_key", "line_no")
+    return lines.join(poor, ["row_key", "branch"], "left_anti").select("row_key", "line_no")
+
+
+def noise_kinds(of_kind: dict[str, float], weight: float = 0.85) -> list[str]:
+    """The kinds to prune: those far less important than prose, and furniture that no host with enough pages shows.
+
+    Kinds of sections - headings, lists, tables - repeat in form by nature and are never pruned as a kind.
+    """
+    sections = {"heading", "list", "head", "table", "prose"}
+    furniture = {*FURNITURE, "menu"}
+    bar = weight * of_kind.get("prose", 1.0)
+    return sorted(k for k in furniture | set(of_kind) if k not in sections and of_kind.get(k, 0.0) < bar)
 
 
 def menu_words(pages: DataFrame, share: float = 0.004, text: str = "text") -> frozenset[str]:

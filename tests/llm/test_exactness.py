@@ -125,3 +125,15 @@ def test_level_on_held_out_passages():
     assert model.level("") is None and model.level("123 456") is None
     run_on = " and ".join(s.strip(". ").lower() for s in LEVELS[1].split(". ")) + " and the company plans to buy trucks"
     assert model.level(run_on) == 1
+
+
+def test_page_kinds_and_forms():
+    from kilnspark.llm import pagebody as P
+
+    assert P.form("Sponsored: save 8% on rope in Rope") == P.form("Sponsored: save 99% on silo rental in Bow") != P.form("Tags: a, b, 2018")
+    assert P.form("Last May, an inspector took 77 samples.") == P.form("Last July, an inspector took 5 samples.")
+    assert P.noise_kinds({"prose": 0.9, "legal": 0.1, "teaser": 0.4, "byline": 0.89, "list": 0.1}) == ["advert", "breadcrumb", "legal", "menu", "notice", "sharing", "teaser"]  # a kind as varied as prose stays
+    assert P.noise_kinds({}) == ["advert", "breadcrumb", "byline", "legal", "menu", "notice", "sharing", "teaser"]
+    menu = frozenset(["Home", "Costs", "Shop", "News"])
+    page = ["Home", "Costs", "Shop", "A title here", "Costs", "- ash, 4 %", "Mix | Age", "B5 | 3 d", "News | Shop | Home", "Share of ash in the binder: 4 %", "Share this article", "All rights to the ash passed to the quarry.", "Readers should subscribe to one rule: wait."]
+    assert P.kinds(page, menu) == ["menu", "menu", "menu", "prose", "heading", "list", "head", "table", "menu", "prose", "sharing", "prose", "prose"]
