@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import present
@@ -41,3 +42,13 @@ def partition_stats(df: DataFrame, keys: Sequence[str], distinct: Sequence[str],
         *[F.countDistinct(F.when(present(c), F.lower(F.trim(c)))).alias(f"distinct_{c}") for c in distinct],
         *[F.sum(present(c).cast("long")).alias(f"filled_{c}") for c in filled],
     )
+
+
+def split_valid(df: DataFrame, key: str, required: Sequence[str], order: str) -> DataFrame:
+    """Adds ``status`` (accepted, invalid, missing) and ``problems``: no key is 'missing'; a key seen before by ``order`` or a required
+    value that is missing is 'invalid'. Every row is kept."""
+    w = W.partitionBy(key).orderBy(order)
+    seen = F.row_number().over(w) > 1
+    problems = F.array_compact(F.array(F.when(present(key) & seen, F.lit("duplicate id")), *[F.when(~present(c), F.lit(f"no {c}")) for c in required]))
+    d = df.withColumn("problems", problems)
+    return d.withColumn("status", F.when(~present(key), "missing").when(F.size("problems") > 0, "invalid").otherwise("accepted"))

@@ -56,3 +56,16 @@ def with_zero_nodes(dimension: DataFrame, counts: DataFrame, key: str, count: st
 def foreign_keys(df: DataFrame, key: str, dimension: DataFrame, dim_key: str) -> DataFrame:
     """Rows whose key is set and not in the dimension."""
     return df.where(F.col(key).isNotNull()).join(dimension.select(F.col(dim_key).alias(key)).distinct(), key, "left_anti")
+
+
+def greedy_paths(df: DataFrame, key: str, path: str, score: str, n: int = 3, floor: float = 2.0) -> DataFrame:
+    """(key, paths): up to ``n`` paths of a key, best score first (ties: the smaller path), none the ancestor of another, none scored
+    more than ``floor`` below the best.
+
+    A fold over the key's distinct paths; their number is bounded by the tree, not by rows, which are aggregated first.
+    """
+    best = df.where(F.col(key).isNotNull() & F.col(path).isNotNull()).groupBy(key, path).agg(F.max(score).alias("s"))
+    arr = best.groupBy(key).agg(F.array_sort(F.collect_list(F.struct((-F.col("s")).alias("neg"), F.col(path).alias("p")))).alias("a"))
+    near = lambda kept, x: F.exists(kept, lambda y: (y == x["p"]) | F.startswith(y, F.concat(x["p"], F.lit("/"))) | F.startswith(x["p"], F.concat(y, F.lit("/"))))
+    fold = F.aggregate(F.filter("a", lambda x: x["neg"] <= F.col("a")[0]["neg"] + floor), F.array().cast("array<string>"), lambda kept, x: F.when((F.size(kept) >= n) | near(kept, x), kept).otherwise(F.array_append(kept, x["p"])))
+    return arr.select(key, fold.alias("paths"))

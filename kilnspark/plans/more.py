@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions import spans as SP
 from ..functions.text import known, present
-from ..operators import matching, quality, ranking
+from ..operators import matching, quality, ranking, taxonomy
 from ..sources.tables import table
 from ..streaming import incremental
-from .reference import _fold, _has, _known, _year
+from .reference import LEVELS, _fold, _has, _known, _year
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -195,3 +195,58 @@ def corpus_profile(spark, d):
     """Counts, blanks, sizes and wrong sizes of the corpus by kind."""
     t = table(spark, d, "documents")
     return t.groupBy("doc_kind").agg(F.count("*").alias("n"), F.count_if(F.col("text").isNull() | F.col("text").rlike(r"^[ \t\r\n]*$")).alias("n_blank"), F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("bigint")).alias("n_chars"), F.count_if(~F.col("n_chars").eqNullSafe(F.length("text"))).alias("n_off"))
+
+
+@query(f"""WITH r AS (SELECT DISTINCT record_id, ingested_at, {", ".join(f"{_has(c)} AS h_{c}" for c in ("source_id", "category", "raw_technology_name"))} FROM cementitious),
+x AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY ingested_at) > 1 AS again FROM r)
+SELECT CASE WHEN NOT {_has("record_id")} THEN 'missing' WHEN again OR NOT h_source_id OR NOT h_category OR NOT h_raw_technology_name THEN 'invalid' ELSE 'accepted' END AS status, count(*) AS n, count(*) FILTER (again) AS n_again FROM x GROUP BY 1""")
+def validate_records(spark, d):
+    """Records accepted, invalid or without an id."""
+    required = ["source_id", "category", "raw_technology_name"]
+    c = table(spark, d, "cementitious").select("record_id", "ingested_at", *[F.when(present(x), F.lit("x")).alias(x) for x in required]).distinct()
+    v = quality.split_valid(c, "record_id", required, "ingested_at")
+    return v.groupBy("status").agg(F.count("*").alias("n"), F.count_if(F.array_contains("problems", "duplicate id")).alias("n_again"))
+
+
+_REQUIRED = ("source_title", "source_url", "publication_year", "retrieval_timestamp", "evidence_text")
+
+
+@query("SELECT CASE " + " ".join(f"WHEN NOT {_has(c)} THEN '{c}'" for c in _REQUIRED) + " ELSE 'complete' END AS first_missing, count(*) AS n FROM cementitious GROUP BY 1")
+def provenance_completeness(spark, d):
+    """The first provenance field each record lacks."""
+    first = F.coalesce(*[F.when(~present(c), F.lit(c)) for c in _REQUIRED], F.lit("complete"))
+    return table(spark, d, "cementitious").groupBy(first.alias("first_missing")).agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT {_fold("raw_material_name")} AS name_key, coalesce(trim({_known("raw_material_family")}), 'N.A.') AS family, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY {_fold("raw_material_name")}), 3)::DOUBLE AS pct FROM scm_discovery WHERE {_has("raw_material_name")} GROUP BY 1, 2""")
+def name_histogram(spark, d):
+    """Families of each material name, with their shares."""
+    s = table(spark, d, "scm_discovery").where(present("raw_material_name"))
+    g = s.groupBy(S.key_fold("raw_material_name").alias("name_key"), F.coalesce(F.trim(known("raw_material_family")), F.lit("N.A.")).alias("family")).agg(F.count("*").alias("n"))
+    t = g.groupBy("name_key").agg(F.sum("n").alias("t"))
+    return g.join(t, "name_key").select("name_key", "family", "n", F.round(100.0 * F.col("n") / F.col("t"), 3).alias("pct"))
+
+
+_TEMPLATES = ("{name} pilot plant", "{name} emissions data", "suppliers of {name}")
+
+
+@query("SELECT ref_id, t AS template_no, lower(replace(x, '{name}', canonical_name)) AS query_text FROM canonical_names, (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_TEMPLATES, 1)) + ") AS v(t, x) WHERE list_name = 'technology' QUALIFY row_number() OVER (PARTITION BY query_text ORDER BY ref_id, t) = 1")
+def query_templates(spark, d):
+    """Search queries from templates, each text once."""
+    n = table(spark, d, "canonical_names").where("list_name = 'technology'")
+    texts = F.explode(F.array(*[F.struct(F.lit(i).alias("template_no"), F.lower(F.replace(F.lit(t), F.lit("{name}"), F.col("canonical_name"))).alias("query_text")) for i, t in enumerate(_TEMPLATES, 1)]))
+    return ranking.best_per_key(n.select("ref_id", texts.alias("q")).select("ref_id", "q.*"), ["query_text"], [F.col("ref_id"), F.col("template_no")])
+
+
+@query(r"""SELECT doc_id, md5(trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(coalesce(text, ''), '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<noscript[^>]*>.*?</noscript>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
+ '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ')) AS text_md5 FROM documents""")
+def page_text(spark, d):
+    """Texts without tags and entities, as digests."""
+    return table(spark, d, "documents").select("doc_id", F.md5(S.html_text("text")).alias("text_md5"))
+
+
+@query()
+def greedy_paths(spark, d):
+    """Up to three taxonomy paths per source, none the ancestor of another (a fold; SQL would need recursion)."""
+    p = table(spark, d, "cementitious").select("source_id", taxonomy.path_of(LEVELS).alias("path"), S.label_of("taxonomy_confidence", {"high": "3", "medium": "2", "med": "2", "low": "1"}, "0").cast("double").alias("score"))
+    return taxonomy.greedy_paths(p, "source_id", "path", "score")

@@ -100,3 +100,10 @@ def test_spans_and_matching(spark, rows):
     t = spark.createDataFrame([(1, "wet FLY-ash mix"), (2, "flying ashes"), (3, None)], "id int, t string")
     assert rows(matching.contained_names(t, "id", "t", n, "ref", "name")) == [(1, 7), (1, 9)]
     assert matching.contained_names(t, "id", "t", n.limit(0), "ref", "name").count() == 0
+
+
+def test_greedy_paths_and_validation(spark, rows):
+    df = spark.createDataFrame([("k", "a", 3.0), ("k", "a/b", 3.0), ("k", "c", 3.0), ("k", "d/e", 2.0), ("k", "f", 0.5), ("k", None, 9.0), (None, "a", 1.0), ("k", "a", 1.0)], "k string, p string, s double")
+    assert rows(taxonomy.greedy_paths(df, "k", "p", "s")) == [("k", ["a", "c", "d/e"])]
+    v = spark.createDataFrame([("1", "x", 1), ("1", "x", 2), ("2", "N.A.", 1), (None, "x", 1)], "id string, r string, o int")
+    assert [(r[0], r[1]) for r in rows(quality.split_valid(v, "id", ["r"], "o"), "id", "status")] == [(None, "missing"), ("1", "accepted"), ("1", "invalid"), ("2", "invalid")]
