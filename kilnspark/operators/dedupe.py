@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import digest
@@ -15,18 +14,20 @@ from .ranking import best_per_key
 def mark_duplicates(df: DataFrame, exact: Sequence[str], semantic: Sequence[str], order: str) -> DataFrame:
     """Adds ``exact_key``, ``semantic_key``, ``dup_status`` and ``dup_of``.
 
-    The first row of an exact key by ``order`` survives, later ones are 'exact' with the survivor's order value; survivors that
-    share a semantic key with an earlier survivor are 'possible' with the first one's; others are 'unique'. Two missing
+    The first row of an exact key by ``order`` (unique) survives, later ones are 'exact' with the survivor's order value; survivors
+    that share a semantic key with an earlier survivor are 'possible' with the first one's; others are 'unique'. Two missing
     parts match each other.
+
+    First rows come from partial aggregations and are joined back, one row a key, so a key in a third of all rows is never
+    sorted in one task; the join's large side is split by AQE.
     """
     d = df.withColumn("exact_key", digest(*exact)).withColumn("semantic_key", F.substring(digest(*semantic), 1, 16))
-    e = W.partitionBy("exact_key").orderBy(order)
-    d = d.withColumn("__rn", F.row_number().over(e)).withColumn("__first", F.first(order).over(e))
-    s = W.partitionBy("semantic_key", (F.col("__rn") == 1)).orderBy(order)
-    d = d.withColumn("__srn", F.row_number().over(s)).withColumn("__sfirst", F.first(order).over(s))
-    status = F.when(F.col("__rn") > 1, "exact").when(F.col("__srn") > 1, "possible").otherwise("unique")
-    of = F.when(F.col("__rn") > 1, F.col("__first")).when(F.col("__srn") > 1, F.col("__sfirst"))
-    return d.withColumn("dup_status", status).withColumn("dup_of", of).drop("__rn", "__first", "__srn", "__sfirst")
+    e = d.groupBy("exact_key").agg(F.min(F.struct(F.col(order).alias("o"), "semantic_key")).alias("f")).select("exact_key", F.col("f.o").alias("__first"), F.col("f.semantic_key").alias("__s"))
+    s = e.groupBy("__s").agg(F.min("__first").alias("__sfirst"))
+    j = d.join(e.join(s, "__s").drop("__s"), "exact_key")
+    again, alike = F.col(order) != F.col("__first"), F.col("__first") != F.col("__sfirst")
+    j = j.withColumn("dup_status", F.when(again, "exact").when(alike, "possible").otherwise("unique"))
+    return j.withColumn("dup_of", F.when(again, F.col("__first")).when(alike, F.col("__sfirst"))).drop("__first", "__sfirst")
 
 
 def superseded(df: DataFrame, key: str, failed: Column, order: str) -> DataFrame:

@@ -47,7 +47,7 @@ def partition_stats(df: DataFrame, keys: Sequence[str], distinct: Sequence[str],
 def split_valid(df: DataFrame, key: str, required: Sequence[str], order: str) -> DataFrame:
     """Adds ``status`` (accepted, invalid, missing) and ``problems``: no key is 'missing'; a key seen before by ``order`` or a required
     value that is missing is 'invalid'. Every row is kept."""
-    w = W.partitionBy(key).orderBy(order)
+    w = W.partitionBy(key, F.when(~present(key), F.xxhash64(order))).orderBy(order)  # rows without a key are spread
     seen = F.row_number().over(w) > 1
     problems = F.array_compact(F.array(F.when(present(key) & seen, F.lit("duplicate id")), *[F.when(~present(c), F.lit(f"no {c}")) for c in required]))
     d = df.withColumn("problems", problems)

@@ -28,6 +28,9 @@ def test_ranking(spark, rows):
     assert rows(ranking.best_per_key(df, ["g"], [F.desc("s"), F.col("id")]), "id") == [(3,), (4,)]
     assert rows(ranking.round_robin_cap(df, "g", [F.col("id")], 3), "id") == [(1,), (2,), (4,)]
     assert rows(ranking.islands(df.unionAll(df), ["g"], "id")) == [("a", 1, 3, 3), ("b", 4, 4, 1)]
+    for block in (1, 2, 3, 7):
+        n = spark.createDataFrame([("a", i) for i in (1, 2, 3, 5, 6, 9, 13, 14, 15, 16, -2, -1, 0)] + [("b", 5), ("b", None)], "g string, id int")
+        assert rows(ranking.islands(n, ["g"], "id", block)) == [("a", -2, 3, 6), ("a", 5, 6, 2), ("a", 9, 9, 1), ("a", 13, 16, 4), ("b", 5, 5, 1)], block
     assert rows(ranking.hash_sample(df, "id", "s", 2)) == rows(ranking.hash_sample(df.repartition(3), "id", "s", 2))
     assert ranking.top_n(df.limit(0), [F.col("id")], 5).count() == 0
 
