@@ -60,3 +60,33 @@ def link(left: DataFrame, right: DataFrame, rules: Sequence[tuple[str, str, floa
         out = p if out is None else out.unionAll(p)
     best = out.groupBy(left_id, f"r_{right_id}").agg(F.max(F.struct("score", "rule")).alias("b"))
     return best.select(left_id, F.col(f"r_{right_id}").alias(right_id), F.col("b.rule").alias("rule"), F.col("b.score").alias("score"))
+
+
+def link_with_classes(left: DataFrame, right: DataFrame, pair_key: str, class_key: Sequence[str], left_id: str, right_id: str, veto: Column, pair: tuple[str, float], shared: tuple[str, float]) -> DataFrame:
+    """(left_id, rule, score, right_id, *class_key, n_right): what each left row is linked with; a left row without a link gives one row of NULLs.
+
+    ``pair`` (rule, score): one row per pair of equal ``pair_key`` unless ``veto`` holds; columns of the right side carry the prefix r_. ``shared``
+    (rule, score): rows of equal ``class_key`` link all with all, so such a class comes out as its key and the number of right ids in it;
+    :func:`class_members` has the ids. A pair under both rules stands in both. NULL keys never link; right rows without an id link nothing,
+    left rows without one count as one of id ''. Repeated rows link once.
+    """
+    left = left.withColumn(left_id, F.coalesce(left_id, F.lit(""))).distinct()
+    right = right.where(F.coalesce(F.col(right_id), F.lit("")) != "").distinct()
+    r = right.select([F.col(c).alias(f"r_{c}") for c in right.columns])
+    types = dict(left.dtypes)
+    none = [F.lit(None).cast(types[c]).alias(c) for c in class_key]
+    pairs = left.join(r, F.col(pair_key) == F.col(f"r_{pair_key}")).where(~F.coalesce(veto, F.lit(False)))
+    pairs = pairs.select(left_id, F.lit(pair[0]).alias("rule"), F.lit(pair[1]).alias("score"), F.col(f"r_{right_id}").alias(right_id), *none, F.lit(None).cast("bigint").alias("n_right")).distinct()
+    sizes = right.where(" AND ".join(f"`{c}` IS NOT NULL" for c in class_key)).groupBy(*class_key).agg(F.countDistinct(right_id).alias("n_right"))
+    classes = left.select(left_id, *class_key).distinct().join(sizes, list(class_key))
+    classes = classes.select(left_id, F.lit(shared[0]).alias("rule"), F.lit(shared[1]).alias("score"), F.lit(None).cast(dict(right.dtypes)[right_id]).alias(right_id), *class_key, "n_right")
+    return left.select(left_id).distinct().join(pairs.unionAll(classes), left_id, "left")
+
+
+def class_members(left: DataFrame, right: DataFrame, class_key: Sequence[str], left_id: str, right_id: str) -> DataFrame:
+    """(*class_key, origin, id): the 'left' and 'right' ids of each class that has both; NULL keys and right rows without an id are in none."""
+    whole = " AND ".join(f"`{c}` IS NOT NULL" for c in class_key)
+    a = left.where(whole).select(*class_key, F.lit("left").alias("origin"), F.coalesce(left_id, F.lit("")).alias("id"))
+    b = right.where(whole).where(F.coalesce(F.col(right_id), F.lit("")) != "").select(*class_key, F.lit("right").alias("origin"), F.col(right_id).alias("id"))
+    both = a.select(*class_key).distinct().join(b.select(*class_key).distinct(), list(class_key))
+    return a.unionAll(b).distinct().join(both, list(class_key), "left_semi")

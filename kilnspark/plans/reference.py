@@ -177,6 +177,44 @@ def link_lit_web(spark, d):
     return merging.link(a, b, [("project", "project", 0.8)], "record_id", "discovery_record_id", veto)
 
 
+def _key(c: str) -> str:
+    return f"(CASE WHEN {_has(c)} THEN replace(lower(trim({c})), 'ß', 'ss') END)"
+
+
+_ORIGINS = f"""r AS (SELECT DISTINCT record_id, evidence_origin, {_key("project_name")} AS project, {_key("company_or_organization")} AS company, {_key("country")} AS country, {_key("taxonomy_level_3")} AS leaf, {_key("canonical_technology_name")} AS technology FROM cementitious),
+w AS (SELECT DISTINCT coalesce(record_id, '') AS web_id, project, company, country, leaf, technology FROM r WHERE evidence_origin = 'Web'),
+l AS (SELECT DISTINCT record_id AS literature_id, project, company, country, leaf, technology FROM r WHERE evidence_origin = 'Literature' AND coalesce(record_id, '') <> '')"""
+
+
+def _origins(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    key = lambda c: F.regexp_replace(F.lower(F.trim(known(c))), "ß", "ss")
+    cols = {"project": "project_name", "company": "company_or_organization", "country": "country", "leaf": "taxonomy_level_3", "technology": "canonical_technology_name"}
+    c = table(spark, d, "cementitious").select("record_id", "evidence_origin", *[key(v).alias(n) for n, v in cols.items()])
+    return tuple(c.where(F.col("evidence_origin") == o).select(F.col("record_id").alias(n), *cols) for o, n in (("Web", "web_id"), ("Literature", "literature_id")))
+
+
+@query(f"""WITH {_ORIGINS},
+p AS (SELECT DISTINCT web_id, 'project' AS rule, 0.8 AS score, literature_id, NULL::VARCHAR AS leaf, NULL::VARCHAR AS technology, NULL::BIGINT AS n_right FROM w JOIN l USING (project)
+  WHERE NOT coalesce(w.company <> l.company, false) AND NOT coalesce(w.country <> l.country, false)),
+n AS (SELECT leaf, technology, count(DISTINCT literature_id) AS n_right FROM l WHERE leaf IS NOT NULL AND technology IS NOT NULL GROUP BY 1, 2),
+t AS (SELECT DISTINCT web_id, 'technology' AS rule, 0.6 AS score, NULL::VARCHAR AS literature_id, leaf, technology, n_right FROM w JOIN n USING (leaf, technology))
+SELECT web_id, rule, score::DOUBLE AS score, literature_id, leaf, technology, n_right FROM (SELECT DISTINCT web_id FROM w) LEFT JOIN (SELECT * FROM p UNION ALL SELECT * FROM t) USING (web_id)""")
+def literature_web_links(spark, d):
+    """Each web record with the literature of its project (0.8; other company or country vetoes), the class of its leaf and technology (0.6), or neither."""
+    web, literature = _origins(spark, d)
+    veto = F.coalesce(F.col("company") != F.col("r_company"), F.lit(False)) | F.coalesce(F.col("country") != F.col("r_country"), F.lit(False))
+    return merging.link_with_classes(web, literature, "project", ["leaf", "technology"], "web_id", "literature_id", veto, ("project", 0.8), ("technology", 0.6))
+
+
+@query(f"""WITH {_ORIGINS}, m AS (SELECT leaf, technology, 'Web' AS evidence_origin, web_id AS record_id FROM w UNION SELECT leaf, technology, 'Literature', literature_id FROM l)
+SELECT leaf, technology, evidence_origin, record_id FROM m WHERE EXISTS (SELECT 1 FROM w WHERE w.leaf = m.leaf AND w.technology = m.technology) AND EXISTS (SELECT 1 FROM l WHERE l.leaf = m.leaf AND l.technology = m.technology)""")
+def literature_web_classes(spark, d):
+    """Members of the classes of leaf and technology that literature_web_links names."""
+    web, literature = _origins(spark, d)
+    m = merging.class_members(web, literature, ["leaf", "technology"], "web_id", "literature_id")
+    return m.select("leaf", "technology", F.when(F.col("origin") == "left", "Web").otherwise("Literature").alias("evidence_origin"), F.col("id").alias("record_id"))
+
+
 @query(f"""WITH k AS (SELECT DISTINCT {_fold("canonical_name")} AS k, min(ref_id) OVER (PARTITION BY {_fold("canonical_name")}) AS ref_id FROM canonical_names),
 n AS (SELECT {_fold("technology_name")} AS k, count(*) AS n FROM metric_intel WHERE {_has("technology_name")} GROUP BY 1)
 SELECT n.k AS name_key, coalesce(k.ref_id, -1) AS ref_id, n FROM n LEFT JOIN k USING (k)""")

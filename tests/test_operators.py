@@ -110,3 +110,26 @@ def test_greedy_paths_and_validation(spark, rows):
     assert rows(taxonomy.greedy_paths(df, "k", "p", "s")) == [("k", ["a", "c", "d/e"])]
     v = spark.createDataFrame([("1", "x", 1), ("1", "x", 2), ("2", "N.A.", 1), (None, "x", 1)], "id string, r string, o int")
     assert [(r[0], r[1]) for r in rows(quality.split_valid(v, "id", ["r"], "o"), "id", "status")] == [(None, "missing"), ("1", "accepted"), ("1", "invalid"), ("2", "invalid")]
+
+
+def test_literature_web_links(spark, rows, tmp_path):
+    """The reference's pairs, from links and classes expanded: both rules, both vetoes, every web row kept."""
+    from kilnspark.plans import reference
+
+    cols = "record_id, evidence_origin, project_name, company_or_organization, country, taxonomy_level_3, canonical_technology_name".split(", ")
+    data = [
+        ("l1", "Literature", "Quay Wall", "Rope AG", "Kalbar", "L3", "Kiln"), ("l2", "Literature", "quay wall ", "N.A.", None, "L4", "n/a"), ("l3", "Literature", None, None, None, "L3", "KILN"), ("l4", "Literature", "Quay-Wall", None, None, "L3", "Kiln-"), (None, "Literature", "Quay Wall", None, None, "L3", "Kiln"),
+        ("w1", "Web", "QUAY WALL", "rope ag", "kalbar", "L3", "kiln"), ("w2", "Web", "Quay Wall", "Rope AG", "Tane", "L9", None), ("w3", "Web", "Quay Wall", "Wire AG", None, "L3", "Kiln"), ("w4", "Web", "N.A.", None, None, "L4", "Kiln"), ("w5", "Web", None, None, None, None, "Kiln"),
+    ]
+    spark.createDataFrame(data + data[:6], ", ".join(f"{c} string" for c in cols)).write.parquet(f"{tmp_path}/cementitious.parquet")
+    links = rows(reference.QUERIES["literature_web_links"](spark, str(tmp_path)))
+    members = rows(reference.QUERIES["literature_web_classes"](spark, str(tmp_path)))
+    assert members == [("l3", "kiln", "Literature", "l1"), ("l3", "kiln", "Literature", "l3"), ("l3", "kiln", "Web", "w1"), ("l3", "kiln", "Web", "w3")]
+    pairs = {(w, r): s for w, rule, s, r, *_ in links if rule == "project"}
+    for w, rule, s, _, leaf, tech, n in links:
+        if rule == "technology":
+            found = [i for a, b, o, i in members if (a, b, o) == (leaf, tech, "Literature")]
+            assert len(found) == n
+            pairs = {(w, i): s for i in found} | pairs
+    assert pairs == {("w1", "l1"): 0.8, ("w1", "l2"): 0.8, ("w1", "l3"): 0.6, ("w2", "l2"): 0.8, ("w3", "l2"): 0.8, ("w3", "l1"): 0.6, ("w3", "l3"): 0.6}
+    assert [r for r in links if r[1] is None] == [(w, *[None] * 6) for w in ("w4", "w5")]
