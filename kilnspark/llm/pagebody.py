@@ -4,12 +4,14 @@ Pages of one host are merged into a tree: host - presentation kind (menu, notice
 of line - line. What stands in a host's pages for tags and classes is the form of a line, so the kinds are told by forms.
 
 * Content importance of a line: 1 - log(m) / log(M) for a line on m of the host's M pages, the entropy of its places; 1 for a line of
-  one page, 0 for one on every page.
+  one page, 0 for one on every page. A host of more than ``most_pages`` counts as one of so many, m in proportion, so that the share of
+  pages at which a line is cut falls no further as the host grows.
 * Presentation importance of a kind: the mean of the same measure over its forms (text with numbers and names masked), over all
   hosts with enough pages. Furniture repeats its forms from page to page, even where a teaser's words change; prose does not.
 
 Kinds far less important than prose are pruned. The rest is judged by content, a heading with its list or table as one branch, since
-headings and table heads repeat and the rows below do not.
+headings and table heads repeat and the rows below do not. A heading that is no word of menus is a short line without a full stop: it
+stays with the paragraph, list or table below it, however often it stands on the host's pages, and is judged alone where none follows.
 """
 
 from __future__ import annotations
@@ -91,20 +93,42 @@ _MASK = re.compile(r"\d+(?:[.,]\d+)*|(?<=[a-z,;:] )[A-Z]\w*")
 _MARKS = re.compile(r"[^\w\s'’-]")
 
 
+def _sentence(s: str) -> bool:
+    """Whether a line ends a sentence or is too long for a heading."""
+    return s[-1] in ".!?…" or len(s) > 120
+
+
 def form(s: str) -> str:
     """The form of a line: numbers and names masked; of a line that ends no sentence only its first word and its marks."""
-    if s[-1] in ".!?…" or len(s) > 120:
+    if _sentence(s):
         return _MASK.sub("0", s)
     return _MASK.sub("0", s.split(None, 1)[0]) + " ".join(_MARKS.findall(_MASK.sub("0", s)))
 
 
-def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3, weight: float = 0.85, least_pages: int = 8) -> DataFrame:
+def branches(lines: list[str], kinds: list[str]) -> tuple[list[int], list[bool]]:
+    """The branch of each line of a page, and whether it is a short line over a block. Furniture has branches of its own, below zero."""
+    out, topics, section, under = [], [], 0, False
+    for i, (s, kind) in enumerate(zip(lines, kinds)):
+        topic = kind == "prose" and not _sentence(s)
+        if kind == "menu" or kind in FURNITURE:
+            out.append(-i - 1)
+        else:
+            opens = kind in ("heading", "prose") or kind in ("head", "list") and (i == 0 or kinds[i - 1] not in ("heading", kind))
+            section += opens and not (under and not topic and kind != "heading")
+            out.append(section)
+            under = topic
+        topics.append(topic)
+    return out, topics
+
+
+def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3, weight: float = 0.85, least_pages: int = 8, most_pages: int = 1000) -> DataFrame:
     """(row_key, line_no): the non-blank lines of each text that belong to its main body; lines end at \\n, count from 1.
 
     NULL, blank and no-data texts give no rows; neither do 'None' and 'Unavailable' alone. A text delivered twice under one key counts once (one
     delivery, the smallest text, is taken if they differ). A NULL host is a host of its own. Very long texts are read whole.
 
-    A kind is pruned if its importance is less than ``weight`` times that of prose; a branch, if its lines' mean is below ``low``.
+    A kind is pruned if its importance is less than ``weight`` times that of prose; a branch, if its lines' mean is below ``low``; a short
+    line over it only if its own importance is below ``low`` too.
     Hosts of fewer than ``least_pages`` pages are too few to tell what repeats; a kind that no larger host shows counts as
     furniture if :data:`FURNITURE` or a menu, and as content otherwise.
 
@@ -125,22 +149,19 @@ def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3
 
         short = lambda x: xxhash.xxh64_intdigest(x) - (1 << 63)
         for b in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [], [])
             forms: Counter = Counter()
             for k, h, t in zip(b["row_key"], b["host"], b["text"]):
                 at = [(n, s) for n, line in enumerate(t.split("\n"), 1) if (s := line.strip())]
                 ks = kinds([s for _, s in at], menu)
                 forms.update({(h, kind, form(s)) for (_, s), kind in zip(at, ks)})
-                section = 0
-                for i, ((n, s), kind) in enumerate(zip(at, ks)):
-                    section += kind in ("heading", "prose") or kind in ("head", "list") and (i == 0 or ks[i - 1] not in ("heading", kind))
-                    branch = -n if kind == "menu" or kind in FURNITURE else section
-                    out[0].append(k), out[1].append(h), out[2].append(n), out[3].append(branch), out[4].append(kind), out[5].append(short(s))
+                for (n, s), kind, branch, topic in zip(at, ks, *branches([s for _, s in at], ks)):
+                    out[0].append(k), out[1].append(h), out[2].append(n), out[3].append(branch), out[4].append(kind), out[5].append(short(s)), out[6].append(topic)
             for (h, kind, f), n in forms.items():  # counts of forms, in the same table: no key, pages as number
-                out[0].append(None), out[1].append(h), out[2].append(n), out[3].append(0), out[4].append(kind), out[5].append(short(f))
-            yield pd.DataFrame({"row_key": out[0], "host": out[1], "line_no": np.array(out[2], "int32"), "branch": np.array(out[3], "int32"), "kind": out[4], "line": np.array(out[5], "int64")})
+                out[0].append(None), out[1].append(h), out[2].append(n), out[3].append(0), out[4].append(kind), out[5].append(short(f)), out[6].append(False)
+            yield pd.DataFrame({"row_key": out[0], "host": out[1], "line_no": np.array(out[2], "int32"), "branch": np.array(out[3], "int32"), "kind": out[4], "line": np.array(out[5], "int64"), "topic": np.array(out[6], "bool")})
 
-    read = checkpointed(p.mapInPandas(run, "row_key string, host string, line_no int, branch int, kind string, line long"))
+    read = checkpointed(p.mapInPandas(run, "row_key string, host string, line_no int, branch int, kind string, line long, topic boolean"))
     size = p.groupBy("host").agg(F.count("*").alias("of")).where(F.col("of") >= least_pages)
     entropy = 1 - F.log(F.least("m", "of")) / F.log("of")
     forms = read.where("row_key IS NULL").groupBy("host", "kind", "line").agg(F.sum("line_no").alias("m")).join(size, "host")
@@ -149,10 +170,14 @@ def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3
 
     lines = read.where(F.col("row_key").isNotNull() & ~F.col("kind").isin(*pruned)).drop("kind")
     seen = lines.groupBy("host", "line").agg(F.count("*").alias("m"))
-    importance = seen.where("m > 1").join(size, "host").select("host", "line", entropy.alias("importance")).where(F.col("importance") < 0.7)
+    least = F.least("of", F.lit(most_pages))
+    share = 1 - F.log(F.greatest(F.lit(1.0), F.least("m", "of") * least / F.col("of"))) / F.log(least)
+    importance = seen.where("m > 1").join(size, "host").select("host", "line", share.alias("importance")).where(F.col("importance") < 0.7)
     weighed = lines.join(importance, ["host", "line"], "left").withColumn("importance", F.coalesce("importance", F.lit(1.0)))
-    poor = weighed.groupBy("row_key", "branch").agg(F.avg("importance").alias("of_branch")).where(F.col("of_branch") < low)
-    return lines.join(poor, ["row_key", "branch"], "left_anti").select("row_key", "line_no")
+    of_branch = weighed.groupBy("row_key", "branch").agg(F.avg(F.when(~F.col("topic"), F.col("importance"))).alias("block"), F.max(F.when(F.col("topic"), F.col("importance"))).alias("over"))
+    poor = of_branch.where(F.least("block", "over") < low)  # NULL where there is no such line
+    kept = F.when(F.col("topic"), F.greatest("over", "block")).otherwise(F.col("block")) >= low
+    return lines.join(poor, ["row_key", "branch"], "left").where(F.coalesce(kept, F.lit(True))).select("row_key", "line_no")
 
 
 def noise_kinds(of_kind: dict[str, float], weight: float = 0.85) -> list[str]:

@@ -120,3 +120,14 @@ def test_page_bodies(spark, rows):
     assert [n for k, n in got if k == "p3"] == [4, 5, 6, 7, 9, 10]
     assert [n for k, n in got if k == "n4"] == [1, 3] and {k for k, _ in got} == {f"p{i}" for i in range(10)} | {"n4"} and len(got) == 62
     assert pagebody.main_body(df.limit(0), "id", "text", "host").count() == 0
+
+
+def test_page_bodies_of_a_large_host(spark):
+    """Headings stay whatever the host's size: over a paragraph, over another heading, and on a fifth of the pages; what repeats alone goes."""
+    top = ["concat('Trial ', id, ' of ash')", "IF(id % 27 = 0, concat('How the mix behaves\n\nThe cubes of lot ', id, ' held.'), '')", "IF(id % 5 = 0, concat('Findings\nTags: a, b\n- lot ', id, ' kept\n- lot ', id, ' sold'), '')"]
+    low = ["IF(id % 25 = 0, concat('Site and materials\nSampling\nDrum ', id, ' was cut.'), '')", "'Hosted by Rope'", "IF(id % 3 = 0, 'Ask the harbour office', '')"]
+    df = spark.range(120_000).selectExpr("concat('p', id) AS id", "'h' AS host", f"concat_ws('\n', {', '.join(top + low)}) AS text")
+    got = pagebody.main_body(df, "id", "text", "host").selectExpr("row_key AS id", "line_no")
+    lines = df.selectExpr("id", "posexplode(split(text, '\n')) AS (n, s)").selectExpr("id", "n + 1 AS line_no", "regexp_replace(s, '[0-9]+', '0') AS s").where("s <> ''")
+    kept = {r[0]: r[1] for r in lines.join(got.withColumn("k", got.line_no), ["id", "line_no"], "left").groupBy("s").agg({"k": "count"}).collect()}
+    assert kept == {"Trial 0 of ash": 120_000, "How the mix behaves": 4445, "The cubes of lot 0 held.": 4445, "Findings": 24_000, "Tags: a, b": 0, "- lot 0 kept": 24_000, "- lot 0 sold": 24_000, "Site and materials": 4800, "Sampling": 4800, "Drum 0 was cut.": 4800, "Hosted by Rope": 0, "Ask the harbour office": 0}
