@@ -2,9 +2,9 @@
 
 The survivor is the most trusted record (most fields present, then latest, then smallest id). What it lacks is filled bundle
 by bundle: fields that depend on each other (a journal on its DOI, a company on its project) come from as few donors as
-possible, chosen by branch and bound; among equally few, the most trusted. All of that happens on presence patterns: records of
-a group with the same pattern are exchangeable but for their trust, so the best of each pattern is enough, and a group of
-millions shrinks to at most 2^k rows in the map tasks already.
+possible, chosen by branch and bound; among equally few, the most trusted. A donor to a bundle has the survivor's value of the
+bundle's first field, or none. All of that happens on presence patterns: records of a group with the same pattern and first field of
+a bundle are exchangeable but for their trust, so the best of each is enough, and a group of millions shrinks in the map tasks already.
 """
 
 from __future__ import annotations
@@ -80,17 +80,37 @@ def choose(lacking: int, candidates: Sequence[tuple[int, int]]) -> list[int]:
     return best[1] if best else []
 
 
+def consistent(lacking: int, own: str | None, candidates: Sequence[tuple[int, int, str | None]]) -> list[int]:
+    """The donors of a bundle that agree on its first field: with ``own``, the survivor's, or, where it has none, with each other.
+
+    ``candidates`` are (bits present, trust rank, first field or None). Among the values the donors may agree on, the one that covers most
+    of ``lacking`` wins, then the fewest donors, then the most trusted.
+    """
+    best = None
+    for value in [own] if own is not None else [None, *dict.fromkeys(d for *_, d in candidates if d is not None)]:
+        fit = [(b, r) for b, r, d in candidates if d is None or d == value]
+        taken = choose(lacking, fit)
+        bits = 0
+        for b, r in fit:
+            bits |= b if r in taken else 0
+        found = (-(bits & lacking).bit_count(), len(taken), taken)
+        best = found if best is None else min(best, found)
+    return best[2]
+
+
 def survivors(df: DataFrame, group: str = "duplicate_group_id", key: str = "record_id", when: str = "retrieval_timestamp", bundles: Mapping[str, Sequence[str]] = BUNDLES) -> DataFrame:
     """One row per group of two or more distinct keys: group, key of the survivor, filled, donors, and the fields after filling.
 
     * The survivor has the most present fields; ties go to the later ``when`` (unreadable or missing is earliest), then to the
       smaller key. Equal rows delivered again change nothing; a key delivered with other values counts with its best row.
-    * ``filled`` counts the fields missing in the survivor and present in another member; all of them get a value.
+    * ``filled`` counts the fields missing in the survivor and present in another member. Each gets a value, unless all members that have
+      one contradict the bundle's first field (trimmed, any case); such a field is counted but stays NULL.
     * ``donors`` are the keys that gave values, per bundle in order. NULL, blank and no-data values are missing and come out NULL.
     * Rows whose group or key is missing are in no group; an empty table gives an empty one; other columns are left out.
 
-    Plan: one aggregation on (group, presence pattern) - partial in the map tasks, so a hot group leaves at most 2^k rows a task -
-    then one on the group over those few rows. Only groups with two keys reach Python.
+    Plan: one aggregation on (group, presence pattern, first fields of the bundles) - partial in the map tasks, so a hot group leaves at
+    most 2^k rows a task for each combination of first fields - then one on the group over those few rows. Only groups with two keys
+    reach Python.
     """
     fields = [f for b in bundles.values() for f in b]
     if len(fields) > 16:
@@ -101,15 +121,17 @@ def survivors(df: DataFrame, group: str = "duplicate_group_id", key: str = "reco
         (-F.coalesce(moment(F.col(f"`{when}`")), F.lit(-(1 << 62)))).alias("back"), *[known(F.col(f"`{f}`")).alias(f"v{i}") for i, f in enumerate(fields)],
     )
     values = F.struct("back", "k", *[f"v{i}" for i in range(len(fields))])
-    patterns = rows.groupBy("g", "mask").agg(F.min(values).alias("best"), F.min("k").alias("lo"), F.max("k").alias("hi"))
-    groups = patterns.groupBy("g").agg(F.collect_list(F.struct((-F.bit_count("mask")).alias("few"), F.col("best.back").alias("back"), F.col("best.k").alias("k"), "mask", F.array(*[F.col(f"best.v{i}") for i in range(len(fields))]).alias("v"))).alias("rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    spans, at = [], 0
+    for b in bundles.values():
+        spans.append((at, len(b)))
+        at += len(b)
+    rows = rows.withColumns({f"first{n}": F.lower(squeeze(f"v{at}")) for n, (at, _) in enumerate(spans)})
+    firsts = [f"first{n}" for n in range(len(spans))]
+    patterns = rows.groupBy("g", "mask", *firsts).agg(F.min(values).alias("best"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+    groups = patterns.groupBy("g").agg(F.collect_list(F.struct((-F.bit_count("mask")).alias("few"), F.col("best.back").alias("back"), F.col("best.k").alias("k"), "mask", F.array(*[F.col(f"best.v{i}") for i in range(len(fields))]).alias("v"), F.array(*firsts).alias("firsts"))).alias("rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     groups = groups.where("lo <> hi").select("g", F.array_sort("rows").alias("rows"))
     # What one record holds needs no choice: only groups with gaps that others can fill go to Python.
     top = groups.select("g", "rows", F.col("rows")[0].alias("s"), F.aggregate("rows", F.lit(0), lambda a, x: a.bitwiseOR(x["mask"])).alias("any"))
-    bundle_bits, at = [], 0
-    for b in bundles.values():
-        bundle_bits.append((1 << at + len(b)) - (1 << at))
-        at += len(b)
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,13 +140,17 @@ def survivors(df: DataFrame, group: str = "duplicate_group_id", key: str = "reco
             for g, rows_ in zip(b["g"], b["rows"]):
                 s = rows_[0]
                 v, donors = list(s["v"]), []
-                for bits in bundle_bits:
-                    for r in choose(bits & ~s["mask"], [(x["mask"], n) for n, x in enumerate(rows_)]):
+                any_ = 0
+                for x in rows_:
+                    any_ |= int(x["mask"])
+                for n, (at, size) in enumerate(spans):
+                    bits = (1 << at + size) - (1 << at)
+                    for r in consistent(bits & ~int(s["mask"]), s["firsts"][n], [(int(x["mask"]) & bits, i, x["firsts"][n]) for i, x in enumerate(rows_)]):
                         donors.append(rows_[r]["k"])
                         for i, x in enumerate(rows_[r]["v"]):
                             if bits >> i & 1 and v[i] is None:
                                 v[i] = x
-                out.append((g, s["k"], sum(x is not None for x in v) - int(s["mask"]).bit_count(), donors, *v))
+                out.append((g, s["k"], (any_ & ~int(s["mask"])).bit_count(), donors, *v))
             yield pd.DataFrame(out, columns=["g", "k", "filled", "donors", *(f"v{i}" for i in range(len(fields)))])
 
     schema = f"g string, k {kind}, filled bigint, donors array<{kind}>, " + ", ".join(f"v{i} string" for i in range(len(fields)))

@@ -36,6 +36,18 @@ def test_survivors(spark, rows):
     assert survivor.survivors(df.limit(0)).count() == 0
 
 
+def test_survivors_take_no_field_of_another_project(spark, rows):
+    method = {"study_type": "s", "functional_unit": "u", "curing_conditions": "c"}
+    data = [
+        _record("g1", "a", "2022-01-01", project_name="A", doi="d", journal_or_site="j", **method), _record("g1", "b", "2022-01-03", project_name="B", country="x", deployment_stage="y"), _record("g1", "c", "2022-01-02", project_name=" a ", country="z"),
+        _record("g1", "d", "2021-01-01", project_name="A", country="older"), _record("g1", "e", None, project_year="2001"),
+        _record("g2", "a", None, doi="d", journal_or_site="j", **method), _record("g2", "b", None, project_name="B", country="x"), _record("g2", "c", None, project_name="C", country="y", project_year="2002"), _record("g2", "d", None, deployment_stage="y"),
+    ]
+    df = spark.createDataFrame(data, "duplicate_group_id string, record_id string, retrieval_timestamp string, " + ", ".join(f"{f} string" for f in FIELDS))
+    got = rows(survivor.survivors(df), "duplicate_group_id", "record_id", "complementary_fields_filled", "donors", "project_name", "country", "project_year", "deployment_stage")
+    assert got == [("g1", "a", 3, ["c", "e"], "A", "z", "2001", None), ("g2", "a", 4, ["c", "d"], "C", "y", "2002", "y")]
+
+
 def test_hot_group_shrinks_before_python(spark):
     df = spark.range(20_000).selectExpr("'g' AS duplicate_group_id", "lpad(id, 6, '0') AS record_id", "'2022-01-01' AS retrieval_timestamp", *[f"IF(id % {i + 2} = 0, 'v', NULL) AS {f}" for i, f in enumerate(FIELDS)])
     assert survivor.survivors(df).select("record_id").first()[0] == "000000"
