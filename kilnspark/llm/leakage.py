@@ -84,19 +84,33 @@ class Index:
     classes: list[SizeClass]
 
 
-def build_index(rows: list[tuple[object, str]], share: float = 1 / 3, pieces: int = 2, miss: float = 0.005) -> Index:
-    """Index over (id, text) items. A piece of ``share / pieces`` of an item is missed with a probability of at most ``miss``."""
+def item_shingles(rows: list[tuple[object, str]]) -> tuple[list, list[np.ndarray]]:
+    """The ids and distinct shingles of the (id, text) items that have any."""
     hasher, ids, sets = Hasher(), [], []
     for k, text in rows:
         s = np.unique(hasher.shingles(hasher.words(words(passage(text or "")))))
         if len(s):
             ids.append(k)
             sets.append(s)
+    return ids, sets
+
+
+def common_shingles(sets: list[np.ndarray]) -> np.ndarray:
+    """The shingles that more than one item has."""
+    every, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
+    return every[count > 1]
+
+
+def build_index(rows: list[tuple[object, str]], share: float = 1 / 3, pieces: int = 2, miss: float = 0.005, common: np.ndarray | None = None) -> Index:
+    """Index over (id, text) items. A piece of ``share / pieces`` of an item is missed with a probability of at most ``miss``.
+
+    ``common`` are the shingles of more than one item, where these rows are a block of more items; else they come from the rows.
+    """
+    ids, sets = item_shingles(rows)
     if not ids:
         return Index([], [], [], [])
-    every, count = np.unique(np.concatenate(sets), return_counts=True)
-    single = every[count == 1]
-    own = [s[np.isin(s, single)] for s in sets]
+    common = common_shingles(sets) if common is None else common
+    own = [s[~np.isin(s, common)] for s in sets]
     by_size: dict[int, list[int]] = {}
     for i, s in enumerate(sets):
         by_size.setdefault(len(s).bit_length(), []).append(i)
@@ -177,9 +191,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     rows = [(r[0], r[1]) for r in items.select(item_key, item_text).where(F.col(item_key).isNotNull()).dropDuplicates([item_key]).orderBy(item_key).toLocalIterator()]
     kind, ikind = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     d = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).where("k IS NOT NULL AND length(t) > 0")
+    common = common_shingles(item_shingles(rows)[1]) if len(rows) > block else None  # over all items, whatever their block
     out = None
     for start in range(0, max(1, len(rows)), block):
-        index = spark.sparkContext.broadcast(build_index(rows[start : start + block]))
+        index = spark.sparkContext.broadcast(build_index(rows[start : start + block], common=common))
 
         def run(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             ix, hasher = index.value, Hasher()

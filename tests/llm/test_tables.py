@@ -111,6 +111,15 @@ def test_leaks(spark, rows):
     assert leakage.find_leaks(d.limit(0), i).count() == 0 and leakage.find_leaks(d, i.limit(0)).count() == 0
 
 
+def test_leaks_do_not_depend_on_blocks(spark, rows):
+    """A template that items of other blocks share is not distinctive."""
+    template = " ".join(f"t{n}" for n in range(20))
+    i = spark.createDataFrame([(k, f"{template} " + " ".join(f"i{k}w{n}" for n in range(30)) + ".") for k in range(4)], "item_id long, text string")
+    d = spark.createDataFrame([(1, f"{template} and nothing else of it"), (2, f"{template} " + " ".join(f"i2w{n}" for n in range(20)))], "doc_id long, text string")
+    whole = rows(leakage.find_leaks(d, i))
+    assert [(r[0], r[1]) for r in whole] == [(2, 2)] and all(rows(leakage.find_leaks(d, i, block=b)) == whole for b in (1, 3))
+
+
 def test_levels(spark, rows):
     from test_exactness import LEVELS
 
