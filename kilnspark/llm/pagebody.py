@@ -134,8 +134,7 @@ def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3
 
     Plan: one shuffle of pages by key for deliveries; lines are read in Python once and written to the checkpoint folder, with the
     counts of forms summed up per batch; counting (host, line) is a partial aggregation, so a hot host's notice leaves one row a
-    task. What is joined back are only lines of low importance, at most 1 / share of a page's lines a host. A dozen kinds'
-    importances come to the driver.
+    task. What is joined back are the lines of two pages or more. A dozen kinds' importances come to the driver.
     """
     from ..sources.tables import checkpointed
 
@@ -149,19 +148,25 @@ def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3
 
         short = lambda x: xxhash.xxh64_intdigest(x) - (1 << 63)
         for b in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
             forms: Counter = Counter()
             for k, h, t in zip(b["row_key"], b["host"], b["text"]):
                 at = [(n, s) for n, line in enumerate(t.split("\n"), 1) if (s := line.strip())]
                 ks = kinds([s for _, s in at], menu)
                 forms.update({(h, kind, form(s)) for (_, s), kind in zip(at, ks)})
+                seen: set[str] = set()
+                seen_outside: set[str] = set()  # a text may be of a menu and, elsewhere on the page, a heading or table head; other kinds follow from the text
                 for (n, s), kind, branch, topic in zip(at, ks, *branches([s for _, s in at], ks)):
-                    out[0].append(k), out[1].append(h), out[2].append(n), out[3].append(branch), out[4].append(kind), out[5].append(short(s)), out[6].append(topic)
+                    first = (s not in seen) + 2 * (kind != "menu" and s not in seen_outside)
+                    seen.add(s)
+                    if kind != "menu":
+                        seen_outside.add(s)
+                    out[0].append(k), out[1].append(h), out[2].append(n), out[3].append(branch), out[4].append(kind), out[5].append(short(s)), out[6].append(topic), out[7].append(first)
             for (h, kind, f), n in forms.items():  # counts of forms, in the same table: no key, pages as number
-                out[0].append(None), out[1].append(h), out[2].append(n), out[3].append(0), out[4].append(kind), out[5].append(short(f)), out[6].append(False)
-            yield pd.DataFrame({"row_key": out[0], "host": out[1], "line_no": np.array(out[2], "int32"), "branch": np.array(out[3], "int32"), "kind": out[4], "line": np.array(out[5], "int64"), "topic": np.array(out[6], "bool")})
+                out[0].append(None), out[1].append(h), out[2].append(n), out[3].append(0), out[4].append(kind), out[5].append(short(f)), out[6].append(False), out[7].append(0)
+            yield pd.DataFrame({"row_key": out[0], "host": out[1], "line_no": np.array(out[2], "int32"), "branch": np.array(out[3], "int32"), "kind": out[4], "line": np.array(out[5], "int64"), "topic": np.array(out[6], "bool"), "first": np.array(out[7], "int8")})
 
-    read = checkpointed(p.mapInPandas(run, "row_key string, host string, line_no int, branch int, kind string, line long, topic boolean"))
+    read = checkpointed(p.mapInPandas(run, "row_key string, host string, line_no int, branch int, kind string, line long, topic boolean, first tinyint"))
     size = p.groupBy("host").agg(F.count("*").alias("of")).where(F.col("of") >= least_pages)
     entropy = 1 - F.log(F.least("m", "of")) / F.log("of")
     forms = read.where("row_key IS NULL").groupBy("host", "kind", "line").agg(F.sum("line_no").alias("m")).join(size, "host")
@@ -169,10 +174,11 @@ def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3
     pruned = noise_kinds(of_kind, weight)
 
     lines = read.where(F.col("row_key").isNotNull() & ~F.col("kind").isin(*pruned)).drop("kind")
-    seen = lines.groupBy("host", "line").agg(F.count("*").alias("m"))
+    on_page = F.col("first").bitwiseAND(2 if "menu" in pruned else 1) > 0  # the first on its page of the lines that are left
+    seen = lines.groupBy("host", "line").agg(F.count_if(on_page).alias("m"))
     least = F.least("of", F.lit(most_pages))
     share = 1 - F.log(F.greatest(F.lit(1.0), F.least("m", "of") * least / F.col("of"))) / F.log(least)
-    importance = seen.where("m > 1").join(size, "host").select("host", "line", share.alias("importance")).where(F.col("importance") < 0.7)
+    importance = seen.where("m > 1").join(size, "host").select("host", "line", share.alias("importance"))
     weighed = lines.join(importance, ["host", "line"], "left").withColumn("importance", F.coalesce("importance", F.lit(1.0)))
     of_branch = weighed.groupBy("row_key", "branch").agg(F.avg(F.when(~F.col("topic"), F.col("importance"))).alias("block"), F.max(F.when(F.col("topic"), F.col("importance"))).alias("over"))
     poor = of_branch.where(F.least("block", "over") < low)  # NULL where there is no such line

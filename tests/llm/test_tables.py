@@ -152,3 +152,11 @@ def test_page_bodies_of_a_large_host(spark):
     lines = df.selectExpr("id", "posexplode(split(text, '\n')) AS (n, s)").selectExpr("id", "n + 1 AS line_no", "regexp_replace(s, '[0-9]+', '0') AS s").where("s <> ''")
     kept = {r[0]: r[1] for r in lines.join(got.withColumn("k", got.line_no), ["id", "line_no"], "left").groupBy("s").agg({"k": "count"}).collect()}
     assert kept == {"Trial 0 of ash": 120_000, "How the mix behaves": 4445, "The cubes of lot 0 held.": 4445, "Findings": 24_000, "Tags: a, b": 0, "- lot 0 kept": 24_000, "- lot 0 sold": 24_000, "Site and materials": 4800, "Sampling": 4800, "Drum 0 was cut.": 4800, "Hosted by Rope": 0, "Ask the harbour office": 0}
+
+
+def test_page_importance_is_exact(spark, rows):
+    """A list of lines at 0, 0 and 0.75 has mean 0.25 and is cut; a line that one page repeats is on one page."""
+    page = "Drum {0} held.\n- lot one kept\n- lot two sold\n- lot {1} lost"
+    pages = [(f"p{i:02}", "h", page.format(i, "ab" if i < 2 else i) + ("\nSo it went." * 20 if i == 5 else "")) for i in range(16)]
+    got = rows(pagebody.main_body(spark.createDataFrame(pages, "id string, host string, text string"), "id", "text", "host"), "row_key", "line_no")
+    assert [n for k, n in got if k == "p00"] == [1] and [n for k, n in got if k == "p07"] == [1, 2, 3, 4] and [n for k, n in got if k == "p05"] == list(range(1, 25))
