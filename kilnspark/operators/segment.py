@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import present
@@ -38,8 +39,8 @@ def shape_column(c: Column) -> Column:
 def dictionary(cells: DataFrame, field: str, cell: str, support: int = 2, max_entries: int = 100_000) -> DataFrame:
     """(field, shape, n): shapes of whole values with a delimiter inside, seen ``support`` times or more in JSON lists or quotes.
 
-    Bounded by ``max_entries`` a field, most frequent first; a value left out would only lose the protection of its inner
-    delimiters. Shapes mask digits, so the count follows the vocabulary, not the rows.
+    At most ``max_entries`` + 1 a field, most frequent first: one too many tells the caller that there are more. A shape may be of any
+    length. Shapes mask digits, so the count follows the vocabulary, not the rows.
     """
     c = F.col(cell)
     listed = F.from_json(F.when(F.trim(c).startswith("["), c), "array<string>", {"mode": "PERMISSIVE"})
@@ -48,9 +49,10 @@ def dictionary(cells: DataFrame, field: str, cell: str, support: int = 2, max_en
         lambda x: F.replace(x, F.lit('""'), F.lit('"')),
     )
     items = cells.select(F.col(field), F.explode(F.concat(F.coalesce(listed, F.array().cast("array<string>")), F.coalesce(quoted, F.array().cast("array<string>")))).alias("__v"))
-    known = items.select(field, shape_column(F.trim("__v")).alias("shape")).where(F.col("shape").rlike(r"[;,|\t\r\n]| / ") & (F.length("shape") <= 200))
+    known = items.select(field, shape_column(F.trim("__v")).alias("shape")).where(F.col("shape").rlike(r"[;,|\t\r\n]| / "))
     known = known.groupBy(field, "shape").agg(F.count("*").alias("n")).where(F.col("n") >= support)
-    return known.orderBy(F.desc("n"), "shape").limit(max_entries)
+    w = W.partitionBy(field).orderBy(F.desc("n"), "shape")
+    return known.withColumn("__at", F.row_number().over(w)).where(F.col("__at") <= max_entries + 1).drop("__at")
 
 
 class Splitter:
@@ -177,11 +179,15 @@ def split_fields(cells: DataFrame, field: str = "field_name", key: str = "row_ke
     Rows delivered again count once. A cell that looks like a list but can't be read as one is split at its delimiters.
     Very long cells are processed whole (time grows with their length). Values known from elsewhere are kept whole although
     they hold delimiters. Other columns are left out, so their names cannot clash.
+
+    A field of more than ``max_entries`` such shapes raises ValueError, since a value left out would be split at its inner delimiters.
     """
     c = cells.where(present(cell) & F.col(key).isNotNull()).select(F.col(field).alias("field_name"), F.col(key).cast("string").alias("row_key"), F.col(cell).alias("cell")).distinct()
     learned: dict[str, list[str]] = {}
     for r in dictionary(c, "field_name", "cell", support, max_entries).select("field_name", "shape").collect():  # bounded by max_entries
         learned.setdefault(r[0], []).append(r[1])
+    if over := sorted(f for f, shapes in learned.items() if len(shapes) > max_entries):
+        raise ValueError(f"more than {max_entries} known values with delimiters inside in {', '.join(over)}: allow more")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         splitters: dict[str, Splitter] = {}

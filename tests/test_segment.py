@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -35,3 +36,14 @@ def test_table(spark, rows):
     assert [r[1:] for r in got if r[1] < "7"] == [("1", 1, "a, class 5"), ("1", 2, "b"), ("5", 1, "a, class 5"), ("6", 1, "a, class 6"), ("6", 2, "z")]
     assert [len(r[3]) for r in got if r[1] == "7"] == [50_000, 1]
     assert split_fields(df.limit(0)).count() == 0
+
+
+def test_dictionary_is_whole_or_fails(spark, rows):
+    """The bound holds for a field, not for all together; long values are known too; what lies beyond the bound is no silent loss."""
+    long = "fine " * 50 + "ash, wet"
+    cells = [("f", f"{v}{i}", json.dumps([f"{v}, class"])) for v in "abc" for i in range(3)] + [("g", f"g{i}", json.dumps([long])) for i in range(2)] + [("g", "g9", f"{long}; other"), ("f", "f9", "c, class; other")]
+    df = spark.createDataFrame(cells, "field_name string, row_key string, cell string")
+    got = rows(split_fields(df, max_entries=3))
+    assert [r[1:] for r in got if r[1] in ("f9", "g9")] == [("f9", 1, "c, class"), ("f9", 2, "other"), ("g9", 1, long), ("g9", 2, "other")]
+    with pytest.raises(ValueError, match="more than 2 known values .* in f:"):
+        split_fields(df, max_entries=2)
