@@ -110,9 +110,14 @@ def unmatched(names: DataFrame, reference: DataFrame) -> DataFrame:
     return t.join(hits, ["list_name", "form"], "left_anti").groupBy("list_name", "raw_name").count().withColumnRenamed("count", "n")
 
 
-def canonical_names(scm: DataFrame, cementitious: DataFrame, reference: DataFrame) -> DataFrame:
-    """(origin, row_key, ref_id): material names of scm_discovery and technology names of cementitious on their lists; one row per record."""
+def raw_names(scm: DataFrame, cementitious: DataFrame) -> DataFrame:
+    """(origin, row_key, list_name, raw_name): material names of scm_discovery and technology names of cementitious; rows delivered again count once."""
     names = scm.selectExpr("'scm_discovery' AS origin", "discovery_record_id AS row_key", "'material' AS list_name", "raw_material_name AS raw_name").unionAll(
         cementitious.selectExpr("'cementitious'", "record_id", "'technology'", "raw_technology_name")
     )
-    return map_to_canonical(names.where("row_key IS NOT NULL").distinct(), reference).select("origin", "row_key", "ref_id").distinct()
+    return names.where("row_key IS NOT NULL").distinct()
+
+
+def canonical_names(scm: DataFrame, cementitious: DataFrame, reference: DataFrame) -> DataFrame:
+    """(origin, row_key, ref_id): the names of both tables on their lists; one row per record."""
+    return map_to_canonical(raw_names(scm, cementitious), reference).select("origin", "row_key", "ref_id").distinct()

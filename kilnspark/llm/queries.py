@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
 from .bpe import encode_corpus
-from .canonical import canonical_names
+from .canonical import canonical_names, raw_names, unmatched
 from .grouptop import best_papers
 from .leakage import find_leaks
 from .level import reading_levels
@@ -35,6 +35,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical_names(table(spark, d, "scm_discovery"), table(spark, d, "cementitious"), table(spark, d, "canonical_names"))
 
 
+def p6_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The typed names without an entry and how many records have each: those with ref_id -1 in p6_found."""
+    return unmatched(raw_names(table(spark, d, "scm_discovery"), table(spark, d, "cementitious")), table(spark, d, "canonical_names"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of spellings of the same organisation."""
     columns = [("cementitious", "company_or_organization"), ("scm_discovery", "company_or_organization"), ("company_intel", "name")]
@@ -56,7 +61,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return reading_levels(table(spark, d, "documents"), table(spark, d, "level_samples"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 
 _FIELDS = [f for b in BUNDLES.values() for f in b]
 _MISSING = "('', 'n.a.', 'na', 'n/a', 'not reported', 'unknown', 'not available')"

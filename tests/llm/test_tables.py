@@ -64,6 +64,17 @@ def test_canonical(spark, rows):
     assert set(rows(canonical.map_to_canonical(names_, ref.limit(0)), "ref_id")) == {(-1,)}
 
 
+def test_unmatched_query_has_the_names_without_an_entry(spark, rows, tmp_path):
+    import __spark_entry__
+
+    spark.createDataFrame([("s1", "Fly ash, wet"), ("s1", "Fly ash, wet"), ("s2", "epoxy"), ("s3", "epoxy"), ("s4", "N.A.")], "discovery_record_id string, raw_material_name string").write.parquet(f"{tmp_path}/scm_discovery.parquet")
+    spark.createDataFrame([("c1", "Oxygen kiln"), ("c2", "Fly ash, wet"), (None, "epoxy"), ("c3", "?")], "record_id string, raw_technology_name string").write.parquet(f"{tmp_path}/cementitious.parquet")
+    spark.createDataFrame([(1, "material", "Fly ash, wet", []), (2, "technology", "Oxygen kiln", [])], "ref_id long, list_name string, canonical_name string, aliases array<string>").write.parquet(f"{tmp_path}/canonical_names.parquet")
+    got, found = (rows(__spark_entry__.queries()[q](spark, str(tmp_path))) for q in ("p6_unmatched", "p6_found"))
+    assert got == [("material", "epoxy", 2), ("technology", "?", 1), ("technology", "Fly ash, wet", 1)]
+    assert sum(n for *_, n in got) == sum(r == -1 for *_, r in found)
+
+
 def test_pigeonhole_equals_brute_force(spark, rows):
     import random
 
