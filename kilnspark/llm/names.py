@@ -1,20 +1,22 @@
 """Variant spellings of organisations' names.
 
-Each distinct spelling is read into tokens: generic words (trades, legal forms, titles) in their full form, and the rest, the
-proper part. A symmetric-delete index on the proper parts finds those within a small edit distance; the tokens of each
-candidate pair are then aligned by an optimal assignment in which a word may meet its abbreviation and a given name its initial
-or nickname. Linked spellings form components; a component is an organisation.
+Each distinct spelling is read into tokens: generic words (trades, legal forms, titles) in their full form, and proper words. A
+symmetric-delete index on the tokens finds those within a small edit distance. Each name looks for others by its rarest token, counted
+with all its near spellings, so a typo in a common word looks by another one; the tokens of each candidate pair are then aligned
+by an optimal assignment in which words may stand in another order, a word may meet its abbreviation and a given name its
+initial or nickname. Linked spellings form components; a component is an organisation.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Iterator, Mapping
+from functools import cache, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import present, squeeze
@@ -27,7 +29,6 @@ WORDS = {
     "environmental": "env environ environm envir envtl environment", "cement": "cem cmt", "concrete": "concr conc", "carbon": "carb", "mineral": "min minerals minl", "aggregates": "agg aggr aggregate aggs", "pozzolan": "pozz", "binder": "bind binders bndr", "precast": "prec", "clinker": "clink", "clay": "clays", "kiln": "kilns", "slag": "slags", "ash": "", "low": "",
     "university": "univ uni", "national": "nat natl", "research": "res", "institute": "inst", "nri": "", "consulting": "consult consultancy consultants consultant",
 }
-FULL = {a: w for w, short in WORDS.items() for a in (w, *short.split())}
 
 #: Legal forms, written together, and the form they stand for.
 LEGAL = {
@@ -50,20 +51,36 @@ def plain(name: str) -> str:
     return "".join(c for c in s if not unicodedata.combining(c)).lower().replace("ø", "o").replace("æ", "ae")
 
 
-def generic(token: str) -> str | None:
-    """The full generic word that a token is, shortens by rule (its first four letters or more) or by the table; else None."""
-    if (w := FULL.get(token)) or len(token) < 4:
-        return w
-    return next((w for w in WORDS if w.startswith(token)), None)
+class Words:
+    """A list of generic words with their shortened forms; an empty one makes every word a proper one."""
 
+    def __init__(self, words: Mapping[str, str]):
+        self.words = words
+        self.full = {a: w for w, short in words.items() for a in (w, *short.split())}
+        self.generic = cache(self.generic)
 
-def read_name(name: str) -> tuple[str, str, str, str]:
+    def generic(self, token: str) -> str | None:
+        """The full generic word that a token is, shortens by rule (its first four letters or more) or by the table; else None."""
+        if (w := self.full.get(token)) or len(token) < 4:
+            return w
+        return next((w for w in self.words if w.startswith(token)), None)
+
+    def mistyped(self, token: str) -> str | None:
+        """The generic word of five letters or more that a token is but for one edit; else None."""
+        return next((w for w in self.words if len(w) > 4 and len(token) > 4 and near(token, w, 1)), None)
+
+
+_WORDS = Words(WORDS)
+
+
+def read_name(name: str, words: Words = _WORDS) -> tuple[str, str, str, str]:
     """(trade, proper, given, legal) of a spelling.
 
-    ``trade`` is the full generic words in order of the alphabet, ``proper`` the proper part without blanks, ``given`` a person's
-    given name or initial, ``legal`` the legal form; each may be ''. Acronyms before a name in parentheses, places behind a dash
-    and departments are left out.
+    ``trade`` is the full generic words in order of the alphabet, mistyped ones among them if a proper word is left without them;
+    ``proper`` the proper words in the order typed, ``given`` a person's given name or initial, ``legal`` the legal form; each may be ''.
+    Acronyms before a name in parentheses, places behind a dash and departments are left out.
     """
+    generic = words.generic
     s = plain(name).replace("&", " and ").replace("'", "").replace("’", "")
     if m := re.match(r"^\s*(\S+)\s+\((.+)\)\s*$", s):
         if re.fullmatch(r"[a-z]{2,6}", m[1]):
@@ -77,20 +94,23 @@ def read_name(name: str) -> tuple[str, str, str, str]:
         s = f"{head} {tail}" if any(rest) else head
     s = re.sub(r"\b([a-z])\.\s?([a-z])\.(?:\s?([a-z])\.)?(?:\s?([a-z])\.)?(?=\W|$)", lambda m: "".join(x for x in m.groups() if x) if "".join(x for x in m.groups() if x) in LEGAL else m[0], s)
     s = re.sub(r"\bg\.?m\.?b\.?h\b\.?", "gmbh", s)
-    words = [t for t in re.findall(r"[^\W_]+", s) if t not in _FILL]
+    tokens = [t for t in re.findall(r"[^\W_]+", s) if t not in _FILL]
     legal = ""
-    known = [generic(t) for t in words]
-    while len(words) > 1:  # legal forms stand at the end, 'pty ltd' in two words
-        if len(words) > 2 and words[-2] + words[-1] in LEGAL:
-            legal, words, known = LEGAL[words[-2] + words[-1]], words[:-2], known[:-2]
-        elif words[-1] in LEGAL:
-            legal, words, known = LEGAL[words[-1]], words[:-1], known[:-1]
+    known = [generic(t) for t in tokens]
+    while len(tokens) > 1:  # legal forms stand at the end, 'pty ltd' in two words
+        if len(tokens) > 2 and tokens[-2] + tokens[-1] in LEGAL:
+            legal, tokens, known = LEGAL[tokens[-2] + tokens[-1]], tokens[:-2], known[:-2]
+        elif tokens[-1] in LEGAL:
+            legal, tokens, known = LEGAL[tokens[-1]], tokens[:-1], known[:-1]
         else:
             break
+    if known.count(None) > 1:
+        meant = [k or words.mistyped(t) for t, k in zip(tokens, known)]
+        known = meant if None in meant else known
     trade = sorted({k for k in known if k and k != "nri"})
     if "nri" in known:
         trade = sorted({*trade, "national", "research", "institute"})
-    proper = [t for t, k in zip(words, known) if not k]
+    proper = [t for t, k in zip(tokens, known) if not k]
     given = ""
     if trade == ["consulting"]:
         found = [i for i, t in enumerate(proper) if t in GIVEN or t in NICKNAMES] or [i for i, t in enumerate(proper) if len(t) == 1]
@@ -98,8 +118,8 @@ def read_name(name: str) -> tuple[str, str, str, str]:
             given = NICKNAMES.get(proper[found[0]], proper[found[0]])
             proper = [t for i, t in enumerate(proper) if i != found[0]]
     if not proper:  # nothing but generic words: the name is its own proper part
-        return "", "".join(words), "", legal
-    return " ".join(trade), "".join(proper), given, legal
+        return "", " ".join(tokens), "", legal
+    return " ".join(trade), " ".join(proper), given, legal
 
 
 def near(a: str, b: str, most: int) -> bool:
@@ -128,12 +148,22 @@ def shortens(a: str, b: str) -> bool:
     return a[:1] == b[:1] and all(c in it for c in a)
 
 
+def one_stem(a: str, b: str) -> bool:
+    """Whether two words begin alike with five letters or more and end otherwise in four at most, as 'consulting' and 'consultancy' do."""
+    n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    return n >= 5 and max(len(a), len(b)) - n <= 4
+
+
 def aligned(a: list[str], b: list[str], most: int) -> float:
     """The best total of an assignment of a's tokens to b's, as a share of the longer list: 1 for equal, less for an abbreviation,
-    initial or typo. Exact over all assignments, by dynamic programming over the set of b's tokens used."""
+    initial, nickname, typo or another ending. Exact over all assignments, by dynamic programming over the set of b's tokens used."""
 
     def score(x: str, y: str) -> float:
-        return 1.0 if x == y else 0.9 if near(x, y, most) and min(len(x), len(y)) > 3 else 0.8 if shortens(x, y) else 0.0
+        if x == y:
+            return 1.0
+        if min(len(x), len(y)) > 3 and near(x, y, most) or NICKNAMES.get(x, x) == NICKNAMES.get(y, y):
+            return 0.9
+        return 0.8 if shortens(x, y) else 0.7 if one_stem(x, y) else 0.0
 
     best = {0: 0.0}
     for x in a:
@@ -146,43 +176,102 @@ def aligned(a: list[str], b: list[str], most: int) -> float:
     return max(best.values()) / max(len(a), len(b), 1)
 
 
-def read_names(names: DataFrame, column: str = "name") -> DataFrame:
+def read_names(names: DataFrame, column: str = "name", words: Mapping[str, str] = WORDS) -> DataFrame:
     """(name, trade, proper, given, legal) of each row's spelling."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Words(words)
         for b in batches:
-            yield pd.DataFrame([(n, *read_name(n)) for n in b["name"]], columns=["name", "trade", "proper", "given", "legal"])
+            yield pd.DataFrame([(n, *read_name(n, known)) for n in b["name"]], columns=["name", "trade", "proper", "given", "legal"])
 
     return names.select(F.col(f"`{column}`").alias("name")).mapInPandas(run, "name string, trade string, proper string, given string, legal string")
 
 
-def near_keys(keys: DataFrame, most: int = 1) -> DataFrame:
-    """(a, b): ids of keys (id, trade, proper, given, legal) of the same trade whose parts agree but for small edits.
+def near_tokens(tokens: DataFrame, most: int = 1, least: int = 5) -> DataFrame:
+    """(trade, t, u): tokens of one trade, (trade, t) rows, within ``most`` edits of each other, each with itself as well.
 
-    Symmetric deletes: every proper part stands under itself and itself less one letter (twice, for ``most`` = 2); parts that
-    share one meet. A bucket holds distinct strings that differ from one string by one letter, so its size is bounded by the
-    alphabet, not by rows. Legal forms and given names must not contradict; missing ones agree with any.
+    Symmetric deletes: every token stands under itself and itself less one letter (twice, for ``most`` = 2); tokens that share
+    one meet. A bucket holds distinct strings that differ from one string by one letter, so its size is bounded by the alphabet, not
+    by rows. Tokens of fewer than ``least`` letters meet only themselves: an edit makes another word of them.
     """
     drop = "transform(sequence(1, length({0})), i -> concat(left({0}, i - 1), substr({0}, i + 1)))"
-    stubs = f"array_append({drop.format('proper')}, proper)" if most == 1 else f"array_append(array_union({drop.format('proper')}, flatten(transform({drop.format('proper')}, s -> {drop.format('s')}))), proper)"
-    idx = keys.selectExpr("id", "trade", "proper", "given", "legal", f"explode(array_distinct(if(length(proper) > 4, {stubs}, array(proper)))) AS stub")
-    l, r = idx.alias("l"), idx.alias("r")
-    pairs = l.join(r, [F.col("l.trade") == F.col("r.trade"), F.col("l.stub") == F.col("r.stub"), F.col("l.id") < F.col("r.id")])
-    pairs = pairs.where("(l.legal = r.legal OR l.legal = '' OR r.legal = '') AND (left(l.given, 1) = left(r.given, 1) OR l.given = '' OR r.given = '')")
-    pairs = pairs.selectExpr("l.id AS a", "r.id AS b", "l.trade AS trade", "l.proper AS pa", "r.proper AS pb", "l.given AS ga", "r.given AS gb").distinct()
+    once = drop.format("t")
+    stubs = f"array_append({once}, t)" if most == 1 else f"array_append(array_union({once}, flatten(transform({once}, s -> {drop.format('s')}))), t)"
+    idx = tokens.where(F.length("t") >= least).selectExpr("trade", "t", f"explode(array_distinct({stubs})) AS stub")
+    pairs = idx.join(idx.withColumnRenamed("t", "u"), ["trade", "stub"]).where("t < u").select("trade", "t", "u").distinct()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            yield p[[near(t, u, most) for t, u in zip(p["t"], p["u"])]]
+
+    found = spread(pairs).mapInPandas(run, "trade string, t string, u string")
+    return tokens.select("trade", "t", F.col("t").alias("u")).unionAll(found).unionAll(found.select("trade", F.col("u").alias("t"), F.col("t").alias("u")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """As many partitions as the session has cores, however few bytes there are: what follows is work, not data."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def near_keys(keys: DataFrame, most: int = 1) -> DataFrame:
+    """(a, b): ids of keys (id, trade, proper, given, legal) of the same trade whose tokens agree but for order, small edits and shortening.
+
+    A key looks for others that hold its rarest token or a near one, rarest by the number of keys with the token or a near one; and, if
+    it has several proper words, for those with all of them written together, and for those that share one of its two rarest
+    tokens and the initials of the others, as abbreviations do. Legal forms and given names must not contradict; missing ones
+    agree with any. Every proper word must have a partner.
+    """
+    words = F.split("proper", " ")
+    several = F.size(words) > 1
+    joined = F.regexp_replace("proper", " ", "")
+    tok = checkpointed(keys.select("id", "trade", F.explode(F.array_distinct(F.when(several, F.array_append(words, joined)).otherwise(words))).alias("t"), several.alias("several"), joined.alias("joined")))
+    vocabulary = tok.groupBy("trade", "t").agg(F.count("*").alias("df"))
+    beside = checkpointed(near_tokens(vocabulary.select("trade", "t"), most))
+    weight = beside.join(vocabulary.withColumnRenamed("t", "u"), ["trade", "u"]).groupBy("trade", "t").agg(F.sum("df").alias("df"))
+    ranked = tok.join(weight, ["trade", "t"])
+    whole = F.col("several") & (F.col("t") == F.col("joined"))
+    order = F.row_number().over(W.partitionBy("id").orderBy("whole", "df", "t"))
+    ranked = checkpointed(ranked.withColumn("whole", whole).withColumn("rank", order).select("id", "trade", "t", "several", "whole", "rank"))
+    looks = ranked.where("rank = 1 OR whole").select(F.col("id").alias("a"), "trade", "t")
+    met = looks.join(beside, ["trade", "t"]).select("a", "trade", "u").join(ranked.select(F.col("id").alias("b"), "trade", F.col("t").alias("u")), ["trade", "u"]).select("a", "b")
+    others = keys.where(several).select("id", words.alias("w"))
+    begun = ranked.where("several AND NOT whole AND rank <= 2").join(others, "id")
+    begun = begun.select("id", "trade", "t", F.array_join(F.array_sort(F.transform(F.array_remove("w", F.col("t")), lambda x: F.left(x, F.lit(1)))), "").alias("initials"))
+    same = begun.withColumnRenamed("id", "a").join(begun.withColumnRenamed("id", "b"), ["trade", "t", "initials"]).select("a", "b")
+    ids = met.unionAll(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+    side = lambda x: keys.select(F.col("id").alias(x), F.col("proper").alias(f"p{x}"), F.col("given").alias(f"g{x}"), F.col("legal").alias(f"l{x}"))
+    pairs = ids.join(side("a"), "a").join(side("b"), "b")
+    pairs = pairs.where("(la = lb OR la = '' OR lb = '') AND (left(ga, 1) = left(gb, 1) OR ga = '' OR gb = '')").select("a", "b", "pa", "pb", "ga", "gb")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            keep = []
-            for trade, pa, pb, ga, gb in zip(p["trade"], p["pa"], p["pb"], p["ga"], p["gb"]):
-                if not near(pa, pb, most):
-                    keep.append(False)
-                    continue
-                ta, tb = [*trade.split(), pa, *([ga] if ga and gb else [])], [*trade.split(), pb, *([gb] if ga and gb else [])]
-                keep.append(aligned(ta, tb, most) >= 0.75 and aligned([ta[-1]], [tb[-1]], most) > 0)
-            yield p.loc[keep, ["a", "b"]]
+            yield p.loc[[same_name(*x, most) for x in zip(p["pa"], p["pb"], p["ga"], p["gb"])], ["a", "b"]]
+
+    return spread(pairs).mapInPandas(run, "a long, b long")
+
+
+def same_name(a: str, b: str, given_a: str = "", given_b: str = "", most: int = 1) -> bool:
+    """Whether two proper parts mean one name: written together they are within ``most`` edits, or every word has a partner and one at
+    least is the same but for edits; given names must agree where both stand."""
+    if given_a and given_b and not aligned([given_a], [given_b], most):
+        return False
+    x, y = a.split(), b.split()
+    if near("".join(x), "".join(y), most):
+        return True
+    if len(x) != len(y) or len(x) == 1:
+        return False
+    if not any(len(t) > 3 and near(t, u, most if min(len(t), len(u)) > 4 else 0) for t in x for u in y):
+        return False
+    return aligned(x, y, most) >= 0.8 and all(aligned([t], [u], most) for t, u in partners(x, y, most))
+
 
-    return pairs.mapInPandas(run, "a long, b long")
+def partners(a: list[str], b: list[str], most: int) -> list[tuple[str, str]]:
+    """The pairs of the best assignment, found by taking out each token in turn; a token without a partner is paired with ''."""
+    if not a:
+        return []
+    rest = [b[:j] + b[j + 1 :] for j in range(len(b))]
+    j = max(range(len(b)), key=lambda j: aligned(a[:1], [b[j]], most) + aligned(a[1:], rest[j], most) * len(a[1:]))
+    return [(a[0], b[j] if aligned(a[:1], [b[j]], most) else ""), *partners(a[1:], rest[j], most)]
 
 
 def components(ids: DataFrame, links: DataFrame, rounds: int = 20) -> DataFrame:
@@ -207,7 +296,7 @@ def components(ids: DataFrame, links: DataFrame, rounds: int = 20) -> DataFrame:
     raise RuntimeError("components did not settle; allow more rounds")
 
 
-def link_names(columns: list[tuple[DataFrame, str]], most: int = 1) -> DataFrame:
+def link_names(columns: list[tuple[DataFrame, str]], most: int = 1, words: Mapping[str, str] = WORDS) -> DataFrame:
     """(name, organisation): each distinct spelling, stripped of outer blanks, and the organisation (a number) it means.
 
     Missing values are no names. Spellings that differ in case, accents or blanks stay different spellings of one organisation.
@@ -215,7 +304,7 @@ def link_names(columns: list[tuple[DataFrame, str]], most: int = 1) -> DataFrame
     cost one key each, and a name in a third of all rows costs one row after the first aggregation.
     """
     names = reduce(DataFrame.unionAll, [d.select(squeeze(c).alias("name")).where(present(c)).distinct() for d, c in columns]).distinct()
-    read = checkpointed(read_names(names))
+    read = checkpointed(read_names(spread(names), words=words))
     parts = ["trade", "proper", "given", "legal"]
     keys = checkpointed(read.select(*parts).distinct().withColumn("id", F.monotonically_increasing_id()))
     labels = components(keys, near_keys(keys, most))

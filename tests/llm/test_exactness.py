@@ -70,7 +70,7 @@ def test_alignment():
 
 def test_read_name():
     same = ["Byzepygo Clinker Engineering AG", "Clinker Engineering Byzepygo", "Byzépygo Clinker Eng.", "BYZEPYGÖ-CLINKER ENGINEERS, A.G.".replace("Ö", "O"), "BCE (Byzepygo Clinker Engrg)", "The Byzepygo Clinker Eng. - Hujatryvol", "Byze pygo Clinker Engineering"]
-    assert {names.read_name(n)[:3] for n in same} == {("clinker engineering", "byzepygo", "")}
+    assert {(r[0], r[1].replace(" ", ""), r[2]) for r in map(names.read_name, same)} == {("clinker engineering", "byzepygo", "")}  # words stay as typed; all of them together are an index entry too
     assert names.read_name("Rivybrysti, Mike - Consultancy")[:3] == names.read_name("Dr. Michael Rivybrysti Consulting")[:3] == ("consulting", "rivybrysti", "michael")
     assert names.read_name("NRI Zasepepa (Nat. Res. Inst.)")[:2] == names.read_name("National Institute for Research Zasepepa")[:2]
     assert names.read_name("X, Uni of")[:2] == names.read_name("The University of X, Dept. of Civil Eng.")[:2] == ("university", "x")

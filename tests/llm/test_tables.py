@@ -195,3 +195,32 @@ def test_page_tree_alone(spark):
     df = spark.createDataFrame(rows_, "id string, host string, text string")
     got = {tuple(r) for r in pagebody.main_body(df, "id", "text", "host", forms={}, rounds=4, least_belief=0.4).collect()}
     assert len(got & true) >= 0.9 * len(true) and len(got & true) >= 0.9 * len(got)
+
+
+def test_names_by_token(spark):
+    """Reordered, abbreviated and mistyped words link; two edits do with ``most`` = 2 only; other names, trades and legal forms don't."""
+    groups = [
+        ["Alpha Beta Cement Ltd", "Beta Alpha Cement Ltd", "Betta Alpha Cement"], ["Byzepygo Cemnet Industries", "Byzepygo Cement Industries", "BYZEPYGO CEM. IND."], ["Smith Ptnrs GmbH", "Smith Partners GmbH"],
+        ["Alpha Gamma Cement Ltd"], ["Alpha Beta Cement GmbH"], ["Smith Partners Slag GmbH"], ["Smith Brothers GmbH"], ["Byzpego Concrete"], ["Byzepygo Concrete"],
+    ]
+    df = spark.createDataFrame([(n,) for g in groups for n in g] + [(None,), (" N.A. ",)], "name string")
+
+    def found(**kw):
+        by = {}
+        for r in names.link_names([(df, "name")], **kw).collect():
+            by.setdefault(r[1], []).append(r[0])
+        return sorted(map(sorted, by.values()))
+
+    strict = [g for g in groups if g != ["Alpha Beta Cement GmbH"]]
+    got = found()
+    assert [g for g in got if "Cement GmbH" not in g[0] and "Betta Alpha Cement" not in g] == sorted(sorted(g) for g in strict if "Betta Alpha Cement" not in g)
+    assert any({"Alpha Beta Cement Ltd", "Beta Alpha Cement Ltd", "Betta Alpha Cement"} <= set(g) for g in got)  # a name without a legal form agrees with any
+    assert sorted(["Byzepygo Concrete", "Byzpego Concrete"]) in found(most=2)
+    assert names.link_names([(df.limit(0), "name")]).count() == 0
+
+
+def test_names_without_generic_words(spark):
+    """An empty list makes every word a proper one; what is left is order, edits, abbreviations and endings."""
+    df = spark.createDataFrame([(n,) for n in ("Gastiwahu Clay Development LLC", "Clay Devt. Gastiwahu", "Gastiwahhu Clay Development", "Tubizanir Slag Processing", "Tubizanir Slag Processors", "Tubizanir Kiln Processing")], "name string")
+    by = {r[0]: r[1] for r in names.link_names([(df, "name")], words={}).collect()}
+    assert len({by[n] for n in by if n.startswith(("Gast", "Clay"))}) == 1 and by["Tubizanir Slag Processing"] == by["Tubizanir Slag Processors"] != by["Tubizanir Kiln Processing"]
