@@ -95,12 +95,14 @@ def map_to_canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
 
     Rows whose raw name is NULL, blank or a no-data marker are left out; all others are kept, repeated ones too. A name of
     signs alone ('?') has no entry. Ties in distance go to the smaller ``ref_id``. An empty list leaves all names unmatched.
-    Edits allowed: none up to 5 letters, then 1 up to 8, 2 up to 13, 3 beyond. Each distinct form is looked up once.
+    Edits allowed: none up to 5 letters, then 1 up to 8, 2 up to 13, 3 beyond. Each distinct form is looked up once; those
+    without an entry are the anti-join of the forms with the matched ones.
     """
     t = typed(names)
-    keys = t.where("form <> ''").select("list_name", "form").distinct()
-    hits = match_keys(keys, variants(reference))
-    return t.join(hits, ["list_name", "form"], "left").selectExpr("* EXCEPT (form, ref_id, distance)", "coalesce(ref_id, -1) AS ref_id", "distance")
+    keys = t.select("list_name", "form").distinct()
+    hits = match_keys(keys.where("form <> ''"), variants(reference))
+    none = keys.join(hits, ["list_name", "form"], "left_anti").selectExpr("list_name", "form", "-1L AS ref_id", "CAST(NULL AS INT) AS distance")
+    return t.join(hits.unionByName(none), ["list_name", "form"]).drop("form")
 
 
 def unmatched(names: DataFrame, reference: DataFrame) -> DataFrame:

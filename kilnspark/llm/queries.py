@@ -30,6 +30,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return survivors(table(spark, d, "cementitious")).select("duplicate_group_id", "record_id", "complementary_fields_filled")
 
 
+def p4_filled(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving records with their fields after filling, and the donors."""
+    return survivors(table(spark, d, "cementitious"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Material and technology names on the canonical lists."""
     return canonical_names(table(spark, d, "scm_discovery"), table(spark, d, "cementitious"), table(spark, d, "canonical_names"))
@@ -61,7 +66,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return reading_levels(table(spark, d, "documents"), table(spark, d, "level_samples"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_filled": p4_filled, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 
 _FIELDS = [f for b in BUNDLES.values() for f in b]
 _MISSING = "('', 'n.a.', 'na', 'n/a', 'not reported', 'unknown', 'not available')"

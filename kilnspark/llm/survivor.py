@@ -45,10 +45,12 @@ def moment(c: Column | str) -> Column:
 
 
 def choose(lacking: int, candidates: Sequence[tuple[int, int]]) -> list[int]:
-    """The donors that cover ``lacking`` (bits), as far as any candidate can: fewest first, then the most trusted.
+    """The donors that cover ``lacking`` (bits), as far as any candidate can: fewest first, so that bundles stay whole, then the
+    highest summed trust, which is the smallest sum of ranks.
 
     ``candidates`` are (bits present, trust rank; 0 is most trusted). Returns their ranks. Branch and bound: the branch is on
-    the donors of one bit that is still open, the bound is the best number of donors so far.
+    the donors of one bit that is still open; a branch ends where the donors it needs at least, or at equal number its ranks, can't
+    beat the best so far.
     """
     best_of: dict[int, int] = {}
     for bits, rank in candidates:
@@ -59,17 +61,18 @@ def choose(lacking: int, candidates: Sequence[tuple[int, int]]) -> list[int]:
     goal = 0
     for b, _ in options:
         goal |= b
-    best: tuple[int, list[int]] | None = None
+    best: tuple[int, int, list[int]] | None = None
 
     def go(open_: int, taken: list[int]) -> None:
         nonlocal best
         if not open_:
-            found = (len(taken), sorted(taken))
+            found = (len(taken), sum(taken), sorted(taken))
             if best is None or found < best:
                 best = found
             return
         widest = max((b & open_).bit_count() for b, _ in options)
-        if best is not None and len(taken) + -(-open_.bit_count() // widest) > best[0]:
+        least = len(taken) + -(-open_.bit_count() // widest)
+        if best is not None and (least > best[0] or least == best[0] and sum(taken) > best[1]):
             return
         low = open_ & -open_
         for b, r in options:
@@ -77,7 +80,7 @@ def choose(lacking: int, candidates: Sequence[tuple[int, int]]) -> list[int]:
                 go(open_ & ~b, [*taken, r])
 
     go(goal, [])
-    return best[1] if best else []
+    return best[2] if best else []
 
 
 def consistent(lacking: int, own: str | None, candidates: Sequence[tuple[int, int, str | None]]) -> list[int]:
