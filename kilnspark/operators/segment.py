@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import present
+from ..sources.tables import checkpointed
 
 #: Characters that part values; a slash does only between blanks.
 DELIMITERS = ";,|\t\r\n"
@@ -183,6 +184,7 @@ def split_fields(cells: DataFrame, field: str = "field_name", key: str = "row_ke
     A field of more than ``max_entries`` such shapes raises ValueError, since a value left out would be split at its inner delimiters.
     """
     c = cells.where(present(cell) & F.col(key).isNotNull()).select(F.col(field).alias("field_name"), F.col(key).cast("string").alias("row_key"), F.col(cell).alias("cell")).distinct()
+    c = checkpointed(c)  # read twice, for the dictionary and for the split
     learned: dict[str, list[str]] = {}
     for r in dictionary(c, "field_name", "cell", support, max_entries).select("field_name", "shape").collect():  # bounded by max_entries
         learned.setdefault(r[0], []).append(r[1])

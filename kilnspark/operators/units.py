@@ -9,6 +9,7 @@ the data; the data side is JVM expressions and one equi-join.
 from __future__ import annotations
 
 from collections import defaultdict, deque
+from collections.abc import Mapping
 from fractions import Fraction as Fr
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -162,22 +163,23 @@ def _prepared(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(plain_digits(F.coalesce(c, F.lit("")))), rf"{BLANK}+", " "))
 
 
-def number_text(c: Column) -> Column:
-    """The digits and marks of a single amount, '' for ranges, bounds and texts without a number in front."""
-    return F.regexp_replace(F.regexp_extract(_prepared(c), _NUMBER, 1), "[ ']", "")
+def number_parts(c: Column) -> Column:
+    """array(digits and marks, exponent, rest) of a single amount; the first is '' for ranges, bounds and texts without a number in front."""
+    found = F.regexp_replace(_prepared(c), _NUMBER, "$1\u0001$2\u0001$3")
+    return F.when(found.contains("\u0001"), F.split(found, "\u0001")).otherwise(F.array(F.lit(""), F.lit(""), F.lit("")))
 
 
-def number_tail(c: Column) -> Column:
-    """What follows the number of :func:`number_text`."""
-    return F.trim(F.regexp_extract(_prepared(c), _NUMBER, 3))
+def amount(parts: Column) -> Column:
+    """The amount of :func:`number_parts`, commas read as thousands where they can be (1,234 is 1234; 10,4 and 0,123 are decimals); NULL
+    if none."""
+    return F.transform(F.array(F.struct(F.regexp_replace(parts[0], "[ ']", "").alias("t"), parts[1].alias("e"))), lambda x: _amount(x["t"], x["e"]))[0]
 
 
-def amount(c: Column) -> Column:
-    """The amount, commas read as thousands where they can be (1,234 is 1234; 10,4 and 0,123 are decimals); NULL if none."""
-    t, e = number_text(c), F.regexp_extract(_prepared(c), _NUMBER, 2)
+def _amount(t: Column, e: Column) -> Column:
     comma, dot = F.instr(t, ",") > 0, F.instr(t, ".") > 0
     plain = (
-        F.when(comma & dot & (F.length(t) - F.instr(F.reverse(t), ",") < F.length(t) - F.instr(F.reverse(t), ".")), F.replace(t, F.lit(","), F.lit("")))
+        F.when(~comma & ~dot, t)
+        .when(comma & dot & (F.length(t) - F.instr(F.reverse(t), ",") < F.length(t) - F.instr(F.reverse(t), ".")), F.replace(t, F.lit(","), F.lit("")))
         .when(comma & dot, F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
         .when(comma & t.rlike(r"^[1-9][0-9]{0,2}(,[0-9]{3})+$"), F.replace(t, F.lit(","), F.lit("")))
         .when(comma & t.rlike(r"^[0-9]+,[0-9]+$"), F.replace(t, F.lit(","), F.lit(".")))
@@ -188,34 +190,42 @@ def amount(c: Column) -> Column:
     return F.concat(plain, e).try_cast("double")
 
 
-def amount_as_decimal(c: Column) -> Column:
+def amount_as_decimal(parts: Column) -> Column:
     """The amount with a lone comma read as the decimal mark; NULL where :func:`amount` has no doubt."""
-    t = number_text(c)
+    t = F.regexp_replace(parts[0], "[ ']", "")
     return F.when(t.rlike(r"^[1-9][0-9]{0,2},[0-9]{3}$"), F.replace(t, F.lit(","), F.lit(".")).try_cast("double"))
 
 
-def to_common(df: DataFrame, value: str, units: list[Column], quantities: list[str], out: str = "common") -> DataFrame:
+def to_common(df: DataFrame, value: str, units: list[Column], quantities: list[str], out: str = "common", ceiling: Mapping[str, float] = CEILING) -> DataFrame:
     """Adds ``{out}_quantity`` and ``{out}_value`` (in the canonical unit), NULL where the row has no single absolute amount.
 
     ``value`` is a text or numeric column. ``units`` are columns where the unit may stand, first choice first; a text right
     behind the number in ``value`` comes before all. The first that states anything decides: if that isn't a unit of one of
     ``quantities``, there is no amount. NULL, empty and no-data values give NULL. Rows are kept, repeated rows too.
+
+    "1,234" is 1234 unless that is more than ``ceiling`` of its quantity, in the canonical unit: then it is 1.234. Nothing else is
+    judged by size; an empty ``ceiling`` reads all such numbers as thousands.
     """
     spark = df.sparkSession
     v = F.col(f"`{value}`")
     text = dict(df.dtypes)[value] == "string"
-    keys = [unit_key(number_tail(v))] if text else []
-    keys += [unit_key(u) for u in units]
-    first = F.coalesce(*[F.when(k != "", k) for k in keys])
-    plain = amount(v) if text else F.when(~F.isnan(v), v.cast("double"))
-    other = amount_as_decimal(v) if text else F.lit(None).cast("double")
-    d = df.withColumns({"__key": first, "__plain": plain, "__other": other})
+    d = df.withColumn("__parts", number_parts(v)) if text else df  # each step reads the one before more than once, so none is computed twice
+    first = F.lit("")
+    if text:
+        d = d.withColumn("__key0", unit_key(F.col("__parts")[2]))
+        first = F.col("__key0")
+    for n, u in enumerate(units, 1):
+        d = d.withColumn(f"__key{n}", F.when(first != "", first).otherwise(unit_key(u)))
+        first = F.col(f"__key{n}")
+    plain = amount(F.col("__parts")) if text else F.when(~F.isnan(v), v.cast("double"))
+    other = amount_as_decimal(F.col("__parts")) if text else F.lit(None).cast("double")
+    d = d.withColumns({"__key": F.when(first != "", first), "__plain": plain, "__other": other})
     t = unit_table(spark).where(F.col("quantity").isin(*quantities)).select(F.col("unit_key").alias("__unit"), F.col("quantity").alias("__q"), F.col("a").alias("__a"), F.col("b").alias("__b"))
     d = d.join(F.broadcast(t), F.col("__key") == F.col("__unit"), "left")  # the unit table is bounded by configuration
-    ceiling = F.element_at(F.create_map(*[x for q, c in CEILING.items() for x in (F.lit(q), F.lit(c))]), F.col("__q"))
-    best = F.when((F.col("__a") * F.col("__plain") + F.col("__b") > ceiling) & F.col("__other").isNotNull(), F.col("__other")).otherwise(F.col("__plain"))
+    most = F.element_at(F.create_map(*[x for q, c in ceiling.items() for x in (F.lit(q), F.lit(c))]), F.col("__q")) if ceiling else F.lit(None)
+    best = F.when((F.col("__a") * F.col("__plain") + F.col("__b") > most) & F.col("__other").isNotNull(), F.col("__other")).otherwise(F.col("__plain"))
     d = d.withColumn(f"{out}_value", F.col("__a") * best + F.col("__b"))
-    return d.withColumn(f"{out}_quantity", F.when(F.col(f"{out}_value").isNotNull(), F.col("__q"))).drop("__key", "__plain", "__other", "__unit", "__q", "__a", "__b")
+    return d.withColumn(f"{out}_quantity", F.when(F.col(f"{out}_value").isNotNull(), F.col("__q"))).drop("__key", "__plain", "__other", "__unit", "__q", "__a", "__b", "__parts", "__key0", *[f"__key{n}" for n in range(1, len(units) + 1)])
 
 
 def noted_unit(notes: Column, topic: str) -> Column:
