@@ -69,3 +69,8 @@ def greedy_paths(df: DataFrame, key: str, path: str, score: str, n: int = 3, flo
     near = lambda kept, x: F.exists(kept, lambda y: (y == x["p"]) | F.startswith(y, F.concat(x["p"], F.lit("/"))) | F.startswith(x["p"], F.concat(y, F.lit("/"))))
     fold = F.aggregate(F.filter("a", lambda x: x["neg"] <= F.col("a")[0]["neg"] + floor), F.array().cast("array<string>"), lambda kept, x: F.when((F.size(kept) >= n) | near(kept, x), kept).otherwise(F.array_append(kept, x["p"])))
     return arr.select(key, fold.alias("paths"))
+
+
+def differences(a: DataFrame, b: DataFrame, only_a: str, only_b: str) -> DataFrame:
+    """(side, columns): the distinct rows that one of two tables has and the other lacks."""
+    return a.subtract(b).select(F.lit(only_a).alias("side"), *a.columns).unionAll(b.subtract(a).select(F.lit(only_b), *a.columns))
