@@ -46,16 +46,22 @@ def sibling_fill(df: DataFrame, context: Sequence[Column], fields: Sequence[str]
     return j.drop(*ctx, *[f"__d_{f}" for f in fields])
 
 
-def link(left: DataFrame, right: DataFrame, rules: Sequence[tuple[str, str, float]], left_id: str, right_id: str, veto: Column) -> DataFrame:
+def link(left: DataFrame, right: DataFrame, rules: Sequence[tuple[str, str, float]], left_id: str, right_id: str, veto: Column, block: int = 10_000) -> DataFrame:
     """(left_id, right_id, rule, score): rows of both sides that share a rule's key, the best rule of each pair; ``veto`` drops pairs.
 
     ``rules`` are (name, key column on both sides, score); a NULL or '' key never links. Columns of the right side carry the
-    prefix r_. Sides are reduced to distinct (key, id) first, so repeated rows link once.
+    prefix r_. Repeated rows are dropped on both sides before the join, so they link once. A key that many rows of both sides share is spread:
+    the left side goes to one of ceil(rows of the key / ``block``) salts, the right side to all of them.
     """
+    left, right = left.distinct(), right.distinct()
     r = right.select([F.col(c).alias(f"r_{c}") for c in right.columns])
     out = None
     for name, key, score in rules:
-        p = left.where((F.col(key).isNotNull()) & (F.col(key) != "")).join(r, F.col(key) == F.col(f"r_{key}"))
+        keyed = left.where((F.col(key).isNotNull()) & (F.col(key) != ""))
+        hot = keyed.groupBy(F.col(key).alias("__k")).agg(F.ceil(F.count("*") / block).cast("int").alias("__n")).where("__n > 1")
+        a = keyed.join(hot, F.col(key) == F.col("__k"), "left").withColumn("__salt", F.pmod(F.xxhash64(left_id), F.coalesce("__n", F.lit(1))).cast("int")).drop("__k", "__n")
+        b = r.join(hot, F.col(f"r_{key}") == F.col("__k"), "left").withColumn("__rsalt", F.explode(F.sequence(F.lit(0), F.coalesce("__n", F.lit(1)) - 1))).drop("__k", "__n")
+        p = a.join(b, (F.col(key) == F.col(f"r_{key}")) & (F.col("__salt") == F.col("__rsalt")))
         p = p.where(~F.coalesce(veto, F.lit(False))).select(left_id, f"r_{right_id}", F.lit(name).alias("rule"), F.lit(score).alias("score"))
         out = p if out is None else out.unionAll(p)
     best = out.groupBy(left_id, f"r_{right_id}").agg(F.max(F.struct("score", "rule")).alias("b"))
@@ -90,3 +96,29 @@ def class_members(left: DataFrame, right: DataFrame, class_key: Sequence[str], l
     b = right.where(whole).where(F.coalesce(F.col(right_id), F.lit("")) != "").select(*class_key, F.lit("right").alias("origin"), F.col(right_id).alias("id"))
     both = a.select(*class_key).distinct().join(b.select(*class_key).distinct(), list(class_key))
     return a.unionAll(b).distinct().join(both, list(class_key), "left_semi")
+
+
+def compatible_fill(df: DataFrame, key: Sequence[str], constraints: Sequence[str], fields: Sequence[str], order: str, id_column: str) -> DataFrame:
+    """(id_column, fields, filled): missing fields from the first other row by ``order`` (unique) of the same key that holds them and does not
+    contradict the row's ``constraints`` (a missing one agrees with any); ``filled`` counts them.
+
+    Rows whose first key part is missing keep their gaps; other missing parts match each other. Filled values are not constraints for
+    later fills. No row meets another: donors are aggregated under every choice of constraint values and wild cards, and a row looks under
+    the 2^n keys that agree with it, so a hot key costs 2^n rows a task.
+    """
+    from itertools import product
+
+    norm = lambda c: F.lower(F.trim(F.coalesce(known(c), F.lit(""))))
+    d = df.select(id_column, order, *[norm(k).alias(f"__k{i}") for i, k in enumerate(key)], *[norm(c).alias(f"__c{i}") for i, c in enumerate(constraints)], *[F.trim(known(f)).alias(f) for f in fields])
+    ks = [f"__k{i}" for i in range(len(key))]
+    keyed = d.where("__k0 <> ''")
+    wild = F.explode(F.array(*[F.struct(*[(F.lit("*") if w else F.col(f"__c{i}")).alias(f"__w{i}") for i, w in enumerate(ws)]) for ws in product((False, True), repeat=len(constraints))]))
+    ws = [f"__w{i}" for i in range(len(constraints))]
+    # NULL stands for no donor; a row's own values never fill its own gaps, so it needs no exclusion
+    donors = keyed.select(*ks, order, *fields, wild.alias("__x")).select(*ks, "__x.*", order, *fields).groupBy(*ks, *ws).agg(*[F.min(F.when(F.col(f).isNotNull(), F.struct(F.col(order).alias("o"), F.col(f).alias("v")))).alias(f"__d_{f}") for f in fields])
+    look = F.explode(F.array_distinct(F.array(*[F.struct(*[F.when(F.col(f"__c{i}") == "", "*").otherwise(F.col(f"__c{i}") if own else F.lit("")).alias(f"__w{i}") for i, own in enumerate(pick)]) for pick in product((True, False), repeat=len(constraints))])))
+    gaps = keyed.where(" OR ".join(f"`{f}` IS NULL" for f in fields))
+    got = gaps.select(id_column, *ks, look.alias("__x")).select(id_column, *ks, "__x.*").join(donors, [*ks, *ws]).groupBy(id_column).agg(*[F.min(f"__d_{f}")["v"].alias(f"__g_{f}") for f in fields])
+    j = d.join(got, id_column, "left")
+    n = sum(((F.col(f).isNull() & F.col(f"__g_{f}").isNotNull()).cast("int") for f in fields), F.lit(0))
+    return j.select(id_column, *[F.coalesce(f, f"__g_{f}").alias(f) for f in fields], n.alias("filled"))

@@ -48,6 +48,17 @@ def nodes(df: DataFrame, path: str) -> DataFrame:
     return n.select("node", F.when(level > 1, F.array_join(F.slice(F.split("node", "/"), 1, level - 1), "/")).alias("parent"), level.alias("level"))
 
 
+def conservation_errors(master: DataFrame, parts: DataFrame, path: str) -> DataFrame:
+    """(node, total, from_parts): nodes whose rows in ``master`` aren't what ``parts`` hold of the node itself and of its children."""
+    t = rollup(master, path, [F.count("*").alias("total")])
+    k = rollup(parts, path, [F.count("*").alias("below")])
+    own = parts.where(F.col(path).isNotNull()).groupBy(F.col(path).alias("node")).agg(F.count("*").alias("own"))
+    up = F.split("node", "/")
+    c = k.where("level > 1").groupBy(F.array_join(F.slice(up, 1, F.size(up) - 1), "/").alias("node")).agg(F.sum("below").alias("below"))
+    j = t.join(c, "node", "left").join(own, "node", "left").select("node", "total", (F.coalesce("below", F.lit(0)) + F.coalesce("own", F.lit(0))).alias("from_parts"))
+    return j.where("total <> from_parts")
+
+
 def with_zero_nodes(dimension: DataFrame, counts: DataFrame, key: str, count: str) -> DataFrame:
     """Every node of the dimension with its count, 0 where there is none."""
     return dimension.join(counts, key, "left").withColumn(count, F.coalesce(F.col(count), F.lit(0).cast("long")))

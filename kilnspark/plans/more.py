@@ -132,11 +132,11 @@ def stream_ingest(spark, d):
     return incremental.snapshot(spark, folder).select("event_type", "user_id", "event_id", "value")
 
 
-@query("""SELECT paper_id FROM (SELECT paper_id FROM screening WHERE product_line = 'scm' INTERSECT SELECT paper_id FROM screening WHERE product_line = 'cementitious' EXCEPT SELECT source_id FROM cementitious)""")
+@query("""SELECT paper_id FROM (SELECT paper_id FROM screening WHERE is_relevant INTERSECT SELECT paper_id FROM screening WHERE NOT is_relevant EXCEPT SELECT source_id FROM cementitious)""")
 def set_operations(spark, d):
-    """Papers of both product lines without a record."""
+    """Papers screened as relevant once and not another time, without a record."""
     s = table(spark, d, "screening")
-    both = s.where("product_line = 'scm'").select("paper_id").intersect(s.where("product_line = 'cementitious'").select("paper_id"))
+    both = s.where("is_relevant").select("paper_id").intersect(s.where("NOT is_relevant").select("paper_id"))
     return both.subtract(table(spark, d, "cementitious").select(F.col("source_id").alias("paper_id")))
 
 

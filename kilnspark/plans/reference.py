@@ -21,8 +21,12 @@ PATTERNS = [r"[0-9]+ percent", r"[0-9]+ days", r"[0-9,]+ mj per tonne"]
 CONFIDENCE = {"high": "High", "medium": "Medium", "med": "Medium", "low": "Low"}
 LEVELS = ["category", "subcategory", "taxonomy_level_1", "taxonomy_level_2", "taxonomy_level_3", "taxonomy_level_4"]
 STAGES = ("laboratory", "pilot", "pilot-scale", "demonstration", "commercial")
-EXACT = ["canonical_technology_name", "company_or_organization", "project_name", "country", "project_year", "deployment_stage", "compressive_strength_value", "co2_reduction_value", "doi", "source_url"]
-SEMANTIC = ["canonical_technology_name", "company_or_organization", "project_name", "country"]
+#: Parts of the key of exact duplicates and of the looser key of possible ones; a tuple is the first of several columns with a value.
+EXACT = {
+    "origin": ("evidence_origin",), "technology": ("canonical_technology_name", "alternative_classification"), "source": ("source_id",), "url": ("source_url",), "project": ("project_name",), "company": ("company_or_organization",), "place": ("country",), "year": ("project_year", "publication_year"),
+    "replacement": ("cement_replacement_percentage",), "age": ("testing_age_days",), "reduction": ("co2_reduction_value",), "strength": ("compressive_strength_value",), "leaf": ("subcategory",), "level_3": ("taxonomy_level_3",), "level_4": ("taxonomy_level_4",),
+}
+SEMANTIC = {"origin": ("evidence_origin",), "name": ("canonical_technology_name", "raw_technology_name"), "source": ("source_id",), "url": ("source_url",), "project": ("project_name",), "company": ("company_or_organization",), "leaf": ("subcategory",)}
 FILLED = ["company_or_organization", "project_name", "deployment_stage", "country", "project_year", "study_type", "journal_or_site", "doi", "functional_unit", "curing_conditions"]
 
 MISS = "('', 'n.a.', 'na', 'n/a', 'not reported', 'unknown', 'not available')"
@@ -149,11 +153,11 @@ def screening_semi(spark, d):
     return table(spark, d, "cementitious").select("source_id", "record_id").join(ok, "source_id", "left_semi").distinct()
 
 
-@query("""SELECT DISTINCT source_id FROM cementitious c WHERE source_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM screening s WHERE s.paper_id = c.source_id)""")
+@query("""SELECT DISTINCT paper_id FROM screening s WHERE is_relevant AND paper_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cementitious c WHERE s.paper_id = c.source_id)""")
 def screening_anti(spark, d):
-    """Sources of records that were never screened."""
-    seen = table(spark, d, "screening").select(F.col("paper_id").alias("source_id"))
-    return table(spark, d, "cementitious").where("source_id IS NOT NULL").select("source_id").join(seen, "source_id", "left_anti").distinct()
+    """Papers screened as relevant that no record comes from."""
+    used = table(spark, d, "cementitious").select(F.col("source_id").alias("paper_id"))
+    return table(spark, d, "screening").where("is_relevant AND paper_id IS NOT NULL").select("paper_id").join(used, "paper_id", "left_anti").distinct()
 
 
 @query(f"""WITH t AS (SELECT source_id, min(title) FILTER ({_has("title")}) AS title, min(url) FILTER ({_has("url")}) AS url FROM registered_sources GROUP BY 1)
@@ -165,16 +169,16 @@ def late_materialize(spark, d):
     return s.join(r, "source_id", "left").select("discovery_record_id", "source_id", F.coalesce(known("source_title"), "t").alias("title"), "url")
 
 
-@query(f"""WITH a AS (SELECT DISTINCT record_id, {_fold(_known("project_name"))} AS project, {_fold(_known("company_or_organization"))} AS company, {_fold(_known("country"))} AS country FROM cementitious),
-b AS (SELECT DISTINCT discovery_record_id, {_fold(_known("project_name"))} AS project, {_fold(_known("company_or_organization"))} AS company FROM scm_discovery),
-p AS (SELECT record_id, discovery_record_id, 'project' AS rule, 0.8 AS score FROM a JOIN b ON a.project = b.project AND a.project <> '' WHERE NOT (a.company <> '' AND b.company <> '' AND a.company <> b.company))
-SELECT DISTINCT record_id, discovery_record_id, rule, score::DOUBLE AS score FROM p""")
-def link_lit_web(spark, d):
-    """Links of literature and discovery records of one project; conflicting companies veto."""
-    a = table(spark, d, "cementitious").select("record_id", S.key_fold(known("project_name")).alias("project"), S.key_fold(known("company_or_organization")).alias("company")).distinct()
-    b = table(spark, d, "scm_discovery").select("discovery_record_id", S.key_fold(known("project_name")).alias("project"), S.key_fold(known("company_or_organization")).alias("company")).distinct()
-    veto = (F.col("company") != "") & (F.col("r_company") != "") & (F.col("company") != F.col("r_company"))
-    return merging.link(a, b, [("project", "project", 0.8)], "record_id", "discovery_record_id", veto)
+@query(f"""WITH a AS (SELECT DISTINCT discovery_record_id, {_fold(_known("project_name"))} AS project, {_fold(_known("company_or_organization"))} AS company FROM scm_discovery),
+b AS (SELECT DISTINCT company_id, {_fold("p")} AS project, {_fold(_known("name"))} AS company FROM (SELECT company_id, name, unnest(associated_projects) AS p FROM company_intel)),
+p AS (SELECT discovery_record_id, company_id, CASE WHEN a.company <> '' AND a.company = b.company THEN 'company' ELSE 'project' END AS rule FROM a JOIN b ON a.project = b.project AND a.project <> '')
+SELECT discovery_record_id, company_id, min(rule) AS rule, max(CASE rule WHEN 'company' THEN 0.9 ELSE 0.8 END)::DOUBLE AS score FROM p GROUP BY 1, 2""")
+def link_project_company(spark, d):
+    """Links of discovery records and companies that name one project; surer where the company is the same."""
+    a = table(spark, d, "scm_discovery").select("discovery_record_id", S.key_fold(known("project_name")).alias("project"), S.key_fold(known("company_or_organization")).alias("company"))
+    b = table(spark, d, "company_intel").select("company_id", "name", F.explode("associated_projects").alias("p")).select("company_id", S.key_fold("p").alias("project"), S.key_fold(known("name")).alias("company"))
+    both = lambda x: x.withColumn("both", F.when((F.col("company") != "") & (F.col("project") != ""), F.concat_ws("|", "project", "company")))
+    return merging.link(both(a), both(b), [("project", "project", 0.8), ("company", "both", 0.9)], "discovery_record_id", "company_id", F.lit(False))
 
 
 def _key(c: str) -> str:
@@ -336,22 +340,28 @@ def best_per_key(spark, d):
     return ranking.best_per_key(s, ["shard_id", "corpus_index"], [F.desc("screening_score"), F.col("screening_id")])
 
 
-_KEYS = " || '|' || ".join(_fold(c) for c in EXACT)
-_SKEYS = " || '|' || ".join(_fold(c) for c in SEMANTIC)
-_DUP = f"""WITH k AS (SELECT DISTINCT record_id, sha1({_KEYS}) AS exact_key, sha1({_SKEYS})[1:16] AS semantic_key FROM cementitious),
+def _part(columns: tuple[str, ...]) -> str:
+    return f"coalesce({', '.join(f'lower(trim({_known(c)}))' for c in columns)}, '')"
+
+
+_KEYS = " || '|' || ".join(_part(c) for c in EXACT.values())
+_SKEYS = " || '|' || ".join(_part(c) for c in SEMANTIC.values())
+_DUP = f"""WITH k AS (SELECT record_id, min(exact_key) AS exact_key, arg_min(semantic_key, exact_key) AS semantic_key FROM (SELECT record_id, sha1({_KEYS}) AS exact_key, sha1({_SKEYS})[1:16] AS semantic_key FROM cementitious) GROUP BY 1),
 e AS (SELECT *, row_number() OVER (PARTITION BY exact_key ORDER BY record_id) AS rn, first_value(record_id) OVER (PARTITION BY exact_key ORDER BY record_id) AS f FROM k),
 s AS (SELECT *, row_number() OVER (PARTITION BY semantic_key, rn = 1 ORDER BY record_id) AS srn, first_value(record_id) OVER (PARTITION BY semantic_key, rn = 1 ORDER BY record_id) AS sf FROM e),
-m AS (SELECT record_id, CASE WHEN rn > 1 THEN 'exact' WHEN srn > 1 THEN 'possible' ELSE 'unique' END AS dup_status, CASE WHEN rn > 1 THEN f WHEN srn > 1 THEN sf END AS dup_of FROM s)"""
+m AS (SELECT record_id, exact_key, semantic_key, CASE WHEN rn > 1 THEN 'exact' WHEN srn > 1 THEN 'possible' ELSE 'unique' END AS dup_status, CASE WHEN rn > 1 THEN f WHEN srn > 1 THEN sf END AS dup_of FROM s)"""
 
 
 def _marked(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "cementitious").select("record_id", *[S.key_fold(x).alias(x) for x in EXACT]).distinct()
-    return dedupe.mark_duplicates(c, EXACT, SEMANTIC, "record_id")
+    part = lambda columns: F.coalesce(*[F.lower(F.trim(known(c))) for c in columns], F.lit(""))
+    c = table(spark, d, "cementitious").select("record_id", F.sha1(F.concat_ws("|", *[part(c) for c in EXACT.values()])).alias("exact_key"), F.substring(F.sha1(F.concat_ws("|", *[part(c) for c in SEMANTIC.values()])), 1, 16).alias("semantic_key"))
+    c = c.groupBy("record_id").agg(F.min(F.struct("exact_key", "semantic_key")).alias("k")).select("record_id", "k.*")  # a record delivered again is one
+    return dedupe.mark_by_keys(c, "record_id")
 
 
-@query(f"{_DUP} SELECT * FROM m")
+@query(f"{_DUP} SELECT record_id, dup_status, dup_of FROM m")
 def exact_dedupe(spark, d):
-    """Exact duplicates by ten fields, possible ones by four, each with the record it repeats."""
+    """Exact duplicates by fifteen parts, possible ones by seven, each with the record it repeats."""
     return _marked(spark, d).select("record_id", "dup_status", "dup_of")
 
 
@@ -361,6 +371,12 @@ def dedupe_audit(spark, d):
     return _marked(spark, d).groupBy("dup_status").agg(F.count("*").alias("n"), F.countDistinct("dup_of").alias("n_kept"))
 
 
+@query(f"""{_DUP} SELECT record_id, CASE dup_status WHEN 'exact' THEN exact_key[1:12] ELSE semantic_key END AS group_id, dup_status, CASE dup_status WHEN 'exact' THEN 'same technology, source, project and metrics' ELSE 'same technology, source, project and company' END AS reason, dup_of AS matched FROM m WHERE dup_status <> 'unique'""")
+def duplicate_audit_rows(spark, d):
+    """The audit trail of duplicates: group, reason, the record each repeats."""
+    return dedupe.audit_rows(_marked(spark, d), "record_id", "record_id")
+
+
 @query("""SELECT shard_id, corpus_index, screening_id, is_relevant FROM (SELECT DISTINCT shard_id, corpus_index, screening_id, is_relevant, confidence FROM screening) QUALIFY row_number() OVER (PARTITION BY shard_id, corpus_index ORDER BY (confidence IS NULL OR isnan(confidence))::INT, screening_id) = 1""")
 def error_superseded(spark, d):
     """The first usable screening of a paper, or the first at all."""
@@ -435,6 +451,7 @@ def _path_sql(levels: list[str]) -> str:
     return "CASE " + " ".join(cases) + " ELSE " + " || '/' || ".join(s) + " END"
 
 
+_LOST = "evidence_origin = 'Web' AND taxonomy_level_1 = 'L1-02'"
 _TREE = f"""WITH p AS (SELECT {_path_sql(LEVELS)} AS path FROM cementitious), g AS (SELECT path, count(*) AS n FROM p WHERE path IS NOT NULL GROUP BY 1),
 x AS (SELECT string_split(path, '/') AS parts, n FROM g), a AS (SELECT array_to_string(parts[1:i], '/') AS node, i, n FROM (SELECT parts, n, unnest(range(1, len(parts) + 1)) AS i FROM x))"""
 
@@ -463,24 +480,21 @@ def zero_nodes(spark, d):
     return taxonomy.with_zero_nodes(taxonomy.nodes(p, "path").select("node"), own, "node", "n_own")
 
 
-@query(f"""{_TREE}, t AS (SELECT node, i, sum(n) AS total FROM a GROUP BY 1, 2), own AS (SELECT path AS node, n FROM g),
-c AS (SELECT array_to_string(string_split(node, '/')[1:i - 1], '/') AS node, sum(total) AS below FROM t WHERE i > 1 GROUP BY 1)
-SELECT t.node, total::BIGINT AS total, (coalesce(below, 0) + coalesce(own.n, 0))::BIGINT AS from_parts FROM t LEFT JOIN c USING (node) LEFT JOIN own USING (node) WHERE total <> coalesce(below, 0) + coalesce(own.n, 0)""")
+@query(f"""{_TREE}, t AS (SELECT node, i, sum(n) AS total FROM a GROUP BY 1, 2), kp AS (SELECT {_path_sql(LEVELS)} AS path FROM cementitious WHERE NOT coalesce({_LOST}, false)), kg AS (SELECT path, count(*) AS n FROM kp WHERE path IS NOT NULL GROUP BY 1),
+kx AS (SELECT string_split(path, '/') AS parts, n FROM kg), ka AS (SELECT array_to_string(parts[1:i], '/') AS node, i, n FROM (SELECT parts, n, unnest(range(1, len(parts) + 1)) AS i FROM kx)), kt AS (SELECT node, i, sum(n) AS total FROM ka GROUP BY 1, 2),
+c AS (SELECT array_to_string(string_split(node, '/')[1:i - 1], '/') AS node, sum(total) AS below FROM kt WHERE i > 1 GROUP BY 1)
+SELECT t.node, total::BIGINT AS total, (coalesce(below, 0) + coalesce(own.n, 0))::BIGINT AS from_parts FROM t LEFT JOIN c USING (node) LEFT JOIN kg AS own ON own.path = t.node WHERE total <> coalesce(below, 0) + coalesce(own.n, 0)""")
 def child_union_check(spark, d):
-    """Nodes whose total isn't their own rows plus their children's: none, if rows are conserved."""
-    p = _paths(spark, d)
-    t = taxonomy.rollup(p, "path", [F.count("*").alias("total")])
-    own = p.where("path IS NOT NULL").groupBy(F.col("path").alias("node")).agg(F.count("*").alias("own"))
-    parts = F.split("node", "/")
-    c = t.where("level > 1").groupBy(F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/").alias("node")).agg(F.sum("total").alias("below"))
-    j = t.join(c, "node", "left").join(own, "node", "left").select("node", "total", (F.coalesce("below", F.lit(0)) + F.coalesce("own", F.lit(0))).alias("from_parts"))
-    return j.where("total <> from_parts")
+    """Nodes whose rows aren't their own and their children's, in an export that lost the web records of one branch."""
+    c = table(spark, d, "cementitious")
+    parts = c.where(~F.coalesce((F.col("evidence_origin") == "Web") & (F.col("taxonomy_level_1") == "L1-02"), F.lit(False))).select(taxonomy.path_of(LEVELS).alias("path"))
+    return taxonomy.conservation_errors(_paths(spark, d), parts, "path")
 
 
-@query("SELECT DISTINCT discovery_record_id, source_id FROM scm_discovery s WHERE source_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM registered_sources r WHERE r.source_id = s.source_id)")
+@query("SELECT DISTINCT company_id, associated_technology FROM company_intel c WHERE associated_technology IS NOT NULL AND NOT EXISTS (SELECT 1 FROM canonical_names n WHERE n.canonical_name = c.associated_technology)")
 def fk_errors(spark, d):
-    """Discovery records whose source isn't registered."""
-    return taxonomy.foreign_keys(table(spark, d, "scm_discovery").select("discovery_record_id", "source_id"), "source_id", table(spark, d, "registered_sources"), "source_id").select("discovery_record_id", "source_id").distinct()
+    """Companies whose technology isn't on the canonical list as written."""
+    return taxonomy.foreign_keys(table(spark, d, "company_intel").select("company_id", "associated_technology"), "associated_technology", table(spark, d, "canonical_names"), "canonical_name").select("company_id", "associated_technology").distinct()
 
 
 @query("""WITH o AS (SELECT DISTINCT coalesce(lower(trim(canonical_technology_name)), '') AS node, CASE WHEN lower(trim(evidence_origin)) = 'web' THEN 2 ELSE 1 END AS bit FROM cementitious)
