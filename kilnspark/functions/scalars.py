@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .text import known, present
 
 #: Query parameters that only track where a visit came from.
-TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "gclid", "fbclid", "mc_cid", "mc_eid", "igshid", "ref", "ref_src", "source")
+TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "gclid", "fbclid", "mc_cid", "mc_eid", "ref", "ref_src", "source")
 
 
 def _c(c: Column | str) -> Column:
@@ -62,14 +62,17 @@ def host_of(url: Column | str) -> Column:
 
 
 def url_key(url: Column | str, tracking: Sequence[str] = TRACKING) -> Column:
-    """Scheme and host in lower case, no www., fragment, trailing slash or tracking parameters; the order of others stays.
+    """Scheme and host in lower case, no www., fragment, trailing slash or tracking parameters; the order of others stays; a bare host gets the
+    path '/'. A host without a scheme is taken as https.
 
     NULL and malformed URLs give the trimmed text itself.
     """
     u = F.trim(_c(url))
+    u = F.when(u.rlike(r"(?i)^[a-z0-9-]+(?:\.[a-z0-9-]+)+(?:[/?#:].*)?$"), F.concat(F.lit("https://"), u)).otherwise(u)
     bare = F.regexp_replace(u, "#.*$", "")
     scheme = F.lower(F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
     path = F.regexp_replace(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]+([^?]*)", 1), "/+$", "")
+    path = F.when(path == "", "/").otherwise(path)
     query = F.regexp_extract(bare, r"\?(.*)$", 1)
     kept = F.array_join(F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.lower(F.substring_index(p, "=", 1)).isin(*tracking)), "&")
     full = F.concat(scheme, F.lit("://"), host_of(u), path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(""))
@@ -99,10 +102,14 @@ def first_words(c: Column | str, n: int) -> Column:
 
 
 def html_text(c: Column | str) -> Column:
-    """Text of HTML: script, style and noscript go, tags become blanks, four entities are decoded, blanks are squeezed."""
-    s = F.coalesce(_c(c), F.lit(""))
-    s = F.regexp_replace(s, r"(?is)<(script|style|noscript)[^>]*>.*?</\1>", " ")
+    """Text of HTML: comments and the elements script, style and noscript go, tags become blanks, blanks are squeezed.
+
+    Entities are decoded: the named ones of markup and blanks, in any letter case, and decimal ones of ASCII; what is written as an entity of
+    an entity stays one. (:func:`~kilnspark.operators.documents.readable` parses pages by elements.)
+    """
+    s = F.regexp_replace(F.coalesce(_c(c), F.lit("")), r"(?s)<!--.*?-->", " ")
+    s = F.regexp_replace(s, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", " ")
     s = F.regexp_replace(s, r"(?s)<[^>]*>", " ")
-    for e, x in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        s = F.replace(s, F.lit(e), F.lit(x))
+    for name, x in (("nbsp|#160", " "), ("lt|#60", "<"), ("gt|#62", ">"), ("quot|#34", '"'), ("apos|#39", "'"), ("amp|#38", "&")):
+        s = F.regexp_replace(s, f"(?i)&(?:{name});", x)
     return F.trim(F.regexp_replace(s, r"\s+", " "))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +9,7 @@ from ..functions import scalars as S
 from ..functions import spans as SP
 from ..functions.text import known, present
 from ..operators import matching, quality, ranking, taxonomy
-from ..sources.tables import table
+from ..sources.tables import scratch, table
 from ..streaming import incremental
 from .reference import LEVELS, _fold, _has, _known, _year
 
@@ -116,16 +113,19 @@ def names_in_text(spark, d):
 
 @query("""SELECT date_trunc('hour', ts::TIMESTAMP) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def windowed_counts(spark, d):
-    """Events per hour and type."""
-    e = table(spark, d, "events").groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"))
-    return e.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+    """Events per hour and type, counted by a stream with a watermark wide enough for the table's disorder."""
+    folder = scratch(spark, "windows")
+    schema = ", ".join(f"{n} {t}" for n, t in table(spark, d, "events").dtypes)
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = incremental.windowed_counts(stream, "ts", "1 hour", "400 days", ["event_type"])
+    incremental.upsert(counts, ["window_start", "event_type"], f"{folder}/rows").awaitTermination()
+    return incremental.snapshot(spark, f"{folder}/rows").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
 
 
 @query("""SELECT event_type, user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY value DESC, event_id) = 1""")
 def stream_ingest(spark, d):
     """The best event per user and type kept by a stream; the same as in one batch."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")
-    folder = f"{base.rstrip('/')}/snapshots-{uuid.uuid4().hex}"
+    folder = scratch(spark, "snapshots")
     schema = ", ".join(f"{n} {t}" for n, t in table(spark, d, "events").dtypes)
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d).select("event_type", "user_id", "event_id", "value")
     incremental.keyed_snapshot(stream, ["event_type", "user_id"], [F.desc("value"), F.col("event_id")], folder).awaitTermination()
@@ -238,8 +238,16 @@ def query_templates(spark, d):
     return ranking.best_per_key(n.select("ref_id", texts.alias("q")).select("ref_id", "q.*"), ["query_text"], [F.col("ref_id"), F.col("template_no")])
 
 
-@query(r"""SELECT doc_id, md5(trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(coalesce(text, ''), '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<noscript[^>]*>.*?</noscript>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
- '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ')) AS text_md5 FROM documents""")
+def _entities(x: str) -> str:
+    for name, ch in (("nbsp|#160", " "), ("lt|#60", "<"), ("gt|#62", ">"), ("quot|#34", '"'), ("apos|#39", "''"), ("amp|#38", "&")):
+        x = f"regexp_replace({x}, '(?i)&(?:{name});', '{ch}', 'g')"
+    return x
+
+
+_BARE_HTML = r"regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '(?s)<!--.*?-->', ' ', 'g'), '(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<noscript\b[^>]*>.*?</noscript\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
+
+
+@query(rf"""SELECT doc_id, md5(trim(regexp_replace({_entities(_BARE_HTML)}, '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ')) AS text_md5 FROM documents""")
 def page_text(spark, d):
     """Texts without tags and entities, as digests."""
     return table(spark, d, "documents").select("doc_id", F.md5(S.html_text("text")).alias("text_md5"))

@@ -386,18 +386,23 @@ def error_superseded(spark, d):
 
 
 _URL = r"""lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || '://' || regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1)), '^www\.', '')
- || regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]+([^?]*)', 1), '/+$', '')
+ || CASE WHEN regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]+([^?]*)', 1), '/+$', '') = '' THEN '/' ELSE regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]+([^?]*)', 1), '/+$', '') END
  || CASE WHEN q = '' THEN '' ELSE '?' || q END"""
-_TRACK = "('utm_source','utm_medium','utm_campaign','utm_term','utm_content','gclid','fbclid','mc_cid','mc_eid','igshid','ref','ref_src','source')"
-_URLS = rf"""WITH b AS (SELECT web_source_id, source_type, authority_rank, url, regexp_replace(trim(url), '#.*$', '') AS u FROM web_stages),
+_TRACK = "(" + ", ".join(f"'{t}'" for t in S.TRACKING) + ")"
+_URLS = rf"""WITH b0 AS (SELECT web_source_id, source_type, authority_rank, CASE WHEN regexp_matches(trim(url), '(?i)^[a-z0-9-]+(?:\.[a-z0-9-]+)+(?:[/?#:].*)?$') THEN 'https://' || trim(url) ELSE url END AS url FROM (SELECT web_source_id, source_type, authority_rank, CASE WHEN web_source_id LIKE '%3' THEN regexp_replace(url, '^https?://', '') ELSE url END AS url FROM web_stages)),
+b AS (SELECT *, regexp_replace(trim(url), '#.*$', '') AS u FROM b0),
 q AS (SELECT *, coalesce(list_aggregate(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda p: p <> '' AND lower(split_part(p, '=', 1)) NOT IN {_TRACK}), 'string_agg', '&'), '') AS q FROM b),
 n AS (SELECT web_source_id, source_type, authority_rank, CASE WHEN regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1) = '' THEN trim(url) ELSE {_URL} END AS url_key FROM q)"""
 
 
+def _bare(w: DataFrame) -> DataFrame:
+    return w.withColumn("url", F.when(F.col("web_source_id").endswith("3"), F.regexp_replace("url", "^https?://", "")).otherwise(F.col("url")))
+
+
 @query(f"{_URLS} SELECT DISTINCT web_source_id, url_key FROM n")
 def url_normalize(spark, d):
-    """URLs without www., fragments, trailing slashes and tracking parameters."""
-    return table(spark, d, "web_stages").select("web_source_id", S.url_key("url").alias("url_key")).distinct()
+    """URLs without www., fragments, trailing slashes and tracking parameters, some of them without their scheme."""
+    return _bare(table(spark, d, "web_stages")).select("web_source_id", S.url_key("url").alias("url_key")).distinct()
 
 
 @query(f"""{_URLS}, k AS (SELECT url_key, string_agg(DISTINCT web_source_id, ';' ORDER BY web_source_id) AS origins, count(*) AS n_rows FROM n WHERE url_key IS NOT NULL GROUP BY 1),
@@ -405,7 +410,7 @@ f AS (SELECT url_key, web_source_id, authority_rank FROM n WHERE url_key IS NOT
 SELECT f.url_key, web_source_id, authority_rank, origins, n_rows FROM f JOIN k USING (url_key)""")
 def url_dedupe_provenance(spark, d):
     """One page per URL, by authority, with all that led to it."""
-    w = table(spark, d, "web_stages").select("web_source_id", "authority_rank", S.url_key("url").alias("url_key")).where("url_key IS NOT NULL")
+    w = _bare(table(spark, d, "web_stages")).select("web_source_id", "authority_rank", S.url_key("url").alias("url_key")).where("url_key IS NOT NULL")
     return dedupe.with_provenance(w, "url_key", "web_source_id", [F.asc_nulls_first("authority_rank"), F.col("web_source_id")])
 
 

@@ -1,7 +1,9 @@
-"""Reading the tables of a data folder."""
+"""Reading the tables of a data folder, and the folder that all executors share."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -10,17 +12,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's checkpoint folder and read from there, so its lineage ends.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which all executors share. Where it is unset a session on one machine (local master, as in tests)
+    gets a folder of its own, once; on a cluster that is an error, since executors would not find it."""
+    sc = spark.sparkContext
+    have = sc._jsc.sc().getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or (have.get() if have.isDefined() else None)
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        import tempfile
+
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
 
-    The folder is the one in spark.checkpoint.dir, which all executors share; only where it is unset (as in tests) a local one is made.
-    """
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the session's checkpoint folder (:func:`shared_folder`) and read from there, so its lineage ends."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="checkpoints-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
