@@ -79,6 +79,21 @@ def url_key(url: Column | str, tracking: Sequence[str] = TRACKING) -> Column:
     return F.when(host_of(u) == "", u).otherwise(full)
 
 
+def any_host(url: Column | str) -> Column:
+    """The host in lower case without www. and port of a URL with or without its scheme; '' for what is neither, NULL for NULL."""
+    u = F.trim(_c(url))
+    bare = F.regexp_replace(u, "^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    is_url = u.rlike("^[A-Za-z][A-Za-z0-9+.-]*://") | u.rlike(r"(?i)^[a-z0-9-]+(?:\.[a-z0-9-]+)+(?:[/?#:].*)?$")
+    return F.when(is_url, F.regexp_replace(F.lower(F.regexp_extract(bare, "^([^/?#:]+)", 1)), r"^www\.", "")).when(u.isNotNull(), "")
+
+
+def safe_name(c: Column | str, suffix: str = "", most: int = 64) -> Column:
+    """A slug that is safe as a file name in any file system: no separators or dots, no reserved names, at most ``most`` letters; '_unnamed' for
+    what leaves nothing."""
+    s = slug(c)
+    return F.concat(F.when((s == "") | s.isin("con", "nul"), "_unnamed").otherwise(F.left(s, F.lit(most))), F.lit(suffix))
+
+
 def phrase_in(text: Column, phrase: str) -> Column:
     """Whether a phrase stands in a lower-case text: whole word for phrases of up to four letters or digits, else anywhere."""
     if len(phrase) <= 4 and phrase.isalnum():

@@ -598,13 +598,6 @@ def field_search(spark, d):
     return c.select("record_id", score.alias("score")).where("score > 0")
 
 
-@query("""SELECT record_id, canonical_technology_name, project_year FROM (SELECT DISTINCT record_id, coalesce(canonical_technology_name, '') AS canonical_technology_name, coalesce(project_year, '') AS project_year FROM cementitious) ORDER BY canonical_technology_name, project_year, record_id LIMIT 1000""")
-def record_sort_topk(spark, d):
-    """The first thousand records of a total order (a top-k report)."""
-    c = table(spark, d, "cementitious").select("record_id", F.coalesce("canonical_technology_name", F.lit("")).alias("canonical_technology_name"), F.coalesce("project_year", F.lit("")).alias("project_year")).distinct()
-    return ranking.top_n(c, ["canonical_technology_name", "project_year", "record_id"], 1000)
-
-
 @query(f"""SELECT category, evidence_origin, grouping(category, evidence_origin)::INT AS level, count(*) AS n FROM cementitious GROUP BY GROUPING SETS ((category, evidence_origin), (category), ())""")
 def grouping_sets(spark, d):
     """Counts by category and origin, by category, and in all."""
