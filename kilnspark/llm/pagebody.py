@@ -191,27 +191,37 @@ def main_body(
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        digest = cache(lambda x: xxhash.xxh64_intdigest(x) - (1 << 63))
+        digest = lambda x: xxhash.xxh64_intdigest(x) - (1 << 63)
+
+        @cache
+        def look(s: str) -> tuple:
+            """What a line alone tells; furniture repeats, so most lines of a batch have been seen."""
+            kind, cells = first_kind(s, patterns)
+            bare = _ITEM.match(s)[1] if kind == ITEM else s
+            return kind, cells if len(cells) > 3 else (), digest(bare), s[-1] not in ".!?…" and len(s) <= 120, bare != s, *map(digest, shapes(s))
+
         for b in batches:
-            out: list[tuple] = []
+            out: list[list] = [[] for _ in range(11)]
+            add = [x.append for x in out]
             for k, h, t in zip(b["row_key"], b["host"], b["text"]):
                 seen: set[int] = set()
                 menus: set[str] = set()
                 for n, line in enumerate(t.split("\n"), 1):
                     if not (s := line.strip()):
                         continue
-                    kind, cells = first_kind(s, patterns)
-                    if len(cells) > 3:
-                        menus.update(cells)
-                    bare = _ITEM.match(s)[1] if kind == ITEM else s
-                    code = digest(bare)
-                    out.append((k, h, n, kind, code, 0 if code in seen else 1, s[-1] not in ".!?…" and len(s) <= 120, bare is not s and bare != s, *map(digest, shapes(s))))
+                    kind, cells, code, short, bullet, f0, f1, f2 = look(s)
+                    menus.update(cells)
+                    for put, x in zip(add, (k, h, n, kind, code, code not in seen, short, bullet, f0, f1, f2)):
+                        put(x)
                     seen.add(code)
-                out.extend((None, h, 0, MENU, digest(c), 1, False, False, 0, 0, 0) for c in menus)
                 if menus:
-                    out.append((None, h, 1, MENU, 0, 1, False, False, 0, 0, 0))
-            digest.cache_clear()
-            yield pd.DataFrame(out, columns=["row_key", "host", "line_no", "kind", "line", "first", "short", "bullet", "form0", "form1", "form2"])
+                    for n, code in [(0, digest(c)) for c in menus] + [(1, 0)]:
+                        for put, x in zip(add, (None, h, n, MENU, code, True, False, False, 0, 0, 0)):
+                            put(x)
+            look.cache_clear()
+            types = [object, object, "int32", "int8", "int64", "int32", bool, bool, "int64", "int64", "int64"]
+            names = ["row_key", "host", "line_no", "kind", "line", "first", "short", "bullet", "form0", "form1", "form2"]
+            yield pd.DataFrame({n: x if t is object else np.array(x, t) for n, x, t in zip(names, out, types)})
 
     lines = checkpointed(p.mapInPandas(read, "row_key string, host string, line_no int, kind tinyint, line long, first int, short boolean, bullet boolean, form0 long, form1 long, form2 long"))
     of_page = F.col("row_key").isNotNull()
