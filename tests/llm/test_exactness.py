@@ -152,3 +152,38 @@ def test_forms_learn_from_what_stands_beside_them():
     low, high, new = tree.belief(np.full(3, P.PROSE), np.array([[1, 1, 1], [3, 3, 2], [7, 8, 9]]))
     assert low < 0.05 < 0.45 < new < 0.55 < high
     assert P.Tree(0.9).belief(np.array([P.NOISE, P.PROSE]), np.array([[1, 1, 1], [3, 3, 2]]))[0] < 0.01
+
+
+def test_leaks_of_several_sizes(spark):
+    """Items of four size classes, planted whole, in part and in two parts, with words changed, in short and long documents; and texts that only
+    share a template, a name or less than a third with an item. Whether a document holds an item is known from how it was made."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))
+    plain = [word() for _ in range(4000)]
+    text = lambda n: [rng.choice(plain) for _ in range(n)]
+    items = {i: text(n) for i, n in enumerate([24] * 12 + [50] * 12 + [110] * 12 + [260] * 6)}
+    template = text(8)
+    docs, true = [], set()
+
+    def changed(ws):
+        return [word() if n % 14 == 9 else w.upper() if n % 5 == 0 else w + "," * (n % 7 == 0) for n, w in enumerate(ws)]
+
+    for i, ws in items.items():
+        third = len(ws) * 2 // 5 + 1
+        for kind in range(6):
+            at = rng.randrange(len(ws) - third)
+            half = third // 2 + 1
+            held = {0: [ws], 1: [ws[at : at + third]], 2: [ws[:half], ws[-half:]], 3: [template], 4: [ws[:7]], 5: [ws]}[kind]
+            around = text(rng.choice([5, 60, 900]))
+            for piece in held:
+                cut = rng.randrange(len(around))
+                around = around[:cut] + (changed(piece) if kind != 0 else piece) + around[cut:]
+            docs.append((len(docs), " ".join(around)))
+            if kind in (0, 1, 2, 5):
+                true.add((len(docs) - 1, i))
+    d = spark.createDataFrame([*docs, (10_000, None), (10_001, ""), docs[0]], "doc_id long, text string").repartition(3)
+    q = spark.createDataFrame([(i, " ".join(template + ws) + ". What is it?") for i, ws in items.items()] + [(99, None), (98, "two words")], "item_id long, text string")
+    for block in (5000, 10):
+        got = {(r.doc_id, r.item_id) for r in leakage.find_leaks(d, q, block=block).collect()}
+        assert len(got & true) >= 0.98 * len(true) and got <= true, (len(true), len(got & true), sorted(got - true)[:5])
+    assert leakage.find_leaks(d.limit(0), q).count() == 0 and leakage.find_leaks(d, q.limit(0)).count() == 0
