@@ -41,11 +41,18 @@ def superseded(df: DataFrame, key: str, failed: Column, order: str) -> DataFrame
 
 
 def with_provenance(df: DataFrame, key: str, origin: str, order: Sequence[Column]) -> DataFrame:
-    """The first row per key with ``origins`` (sorted, distinct, joined by ;) and ``n_rows`` of all rows of the key."""
-    who = df.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set(origin)), ";").alias("origins"), F.count("*").alias("n_rows"))
+    """The first row per key with ``n_origins`` (distinct) and ``n_rows`` of all rows of the key; :func:`provenance` names the origins, a row
+    each, so that no key's origins meet in one row."""
+    o = df.groupBy(key, origin).agg(F.count("*").alias("n"))
+    who = o.groupBy(key).agg(F.count(origin).alias("n_origins"), F.sum("n").alias("n_rows"))
     return best_per_key(df, [key], order).join(who, key)
 
 
+def provenance(df: DataFrame, key: str, origin: str) -> DataFrame:
+    """(key, origin): the distinct origins of each key; NULL origins are none."""
+    return df.where(F.col(origin).isNotNull()).select(key, origin).distinct()
+
+
 def audit_rows(marked: DataFrame, key: str, order: str) -> DataFrame:
     """(key, group_id, dup_status, reason, matched): one row per row that is no first, from :func:`mark_duplicates`."""
     m = marked.where("dup_status <> 'unique'")

@@ -126,16 +126,20 @@ def spellings() -> dict[str, str]:
     return {k: v for k, v in out.items() if v in units}
 
 
-def unit_table(spark: SparkSession) -> DataFrame:
-    """(unit_key, quantity, a, b): one row per written form, also behind 'thousand' and 'million'. Bounded by configuration (a few
-    thousand short rows)."""
+def unit_rows() -> list[tuple[str, str, float, float]]:
+    """(unit_key, quantity, a, b): one row per written form, also behind 'thousand' and 'million'."""
     units, forms = compose(), spellings()
     rows = {k: units[u] for k, u in forms.items()}
     for word, times in (("thousand", 1e3), ("million", 1e6)):
         for k, u in forms.items():
             q, a, b = units[u]
             rows.setdefault(word + k, (q, a * times, b))
-    return spark.createDataFrame([(k, *v) for k, v in sorted(rows.items())], "unit_key string, quantity string, a double, b double")
+    return [(k, *v) for k, v in sorted(rows.items())]
+
+
+def unit_table(spark: SparkSession) -> DataFrame:
+    """:func:`unit_rows` as a table. Bounded by configuration (a few thousand short rows)."""
+    return spark.createDataFrame(unit_rows(), "unit_key string, quantity string, a double, b double")
 
 
 def unit_key(c: Column) -> Column:

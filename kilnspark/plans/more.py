@@ -11,7 +11,7 @@ from ..functions.text import known, present
 from ..operators import matching, quality, ranking, taxonomy
 from ..sources.tables import scratch, table
 from ..streaming import incremental
-from .reference import LEVELS, _fold, _has, _known, _year
+from .reference import LEVELS, _fold, _has, _known, _path_sql, _year
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -253,8 +253,13 @@ def page_text(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(S.html_text("text")).alias("text_md5"))
 
 
-@query()
+_NEAR = "len(list_filter(acc, lambda y: y = x[1] OR starts_with(y, x[1] || '/') OR starts_with(x[1], y || '/'))) > 0"
+
+
+@query(f"""WITH p AS (SELECT source_id, {_path_sql(LEVELS)} AS path, CASE lower(trim(coalesce(taxonomy_confidence, ''))) WHEN 'high' THEN 3.0 WHEN 'medium' THEN 2.0 WHEN 'med' THEN 2.0 WHEN 'low' THEN 1.0 ELSE 0.0 END AS score FROM cementitious WHERE source_id IS NOT NULL), b AS (SELECT source_id, path, max(score) AS s FROM p WHERE path IS NOT NULL GROUP BY 1, 2),
+m AS (SELECT *, max(s) OVER (PARTITION BY source_id) AS top FROM b), l AS (SELECT source_id, list([path] ORDER BY s DESC, path) AS ps FROM m WHERE s >= top - 2.0 GROUP BY 1)
+SELECT source_id, list_reduce(ps, lambda acc, x: CASE WHEN len(acc) >= 3 OR {_NEAR} THEN acc ELSE list_concat(acc, x) END) AS paths FROM l""")
 def greedy_paths(spark, d):
-    """Up to three taxonomy paths per source, none the ancestor of another (a fold; SQL would need recursion)."""
+    """Up to three taxonomy paths per source, none the ancestor of another, none far below the best (an ordered fold)."""
     p = table(spark, d, "cementitious").select("source_id", taxonomy.path_of(LEVELS).alias("path"), S.label_of("taxonomy_confidence", {"high": "3", "medium": "2", "med": "2", "low": "1"}, "0").cast("double").alias("score"))
     return taxonomy.greedy_paths(p, "source_id", "path", "score")

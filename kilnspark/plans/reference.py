@@ -405,13 +405,22 @@ def url_normalize(spark, d):
     return _bare(table(spark, d, "web_stages")).select("web_source_id", S.url_key("url").alias("url_key")).distinct()
 
 
-@query(f"""{_URLS}, k AS (SELECT url_key, string_agg(DISTINCT web_source_id, ';' ORDER BY web_source_id) AS origins, count(*) AS n_rows FROM n WHERE url_key IS NOT NULL GROUP BY 1),
+@query(f"""{_URLS}, k AS (SELECT url_key, count(DISTINCT web_source_id) AS n_origins, count(*) AS n_rows FROM n WHERE url_key IS NOT NULL GROUP BY 1),
 f AS (SELECT url_key, web_source_id, authority_rank FROM n WHERE url_key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY url_key ORDER BY authority_rank NULLS FIRST, web_source_id) = 1)
-SELECT f.url_key, web_source_id, authority_rank, origins, n_rows FROM f JOIN k USING (url_key)""")
+SELECT f.url_key, web_source_id, authority_rank, n_origins, n_rows FROM f JOIN k USING (url_key)""")
 def url_dedupe_provenance(spark, d):
-    """One page per URL, by authority, with all that led to it."""
-    w = _bare(table(spark, d, "web_stages")).select("web_source_id", "authority_rank", S.url_key("url").alias("url_key")).where("url_key IS NOT NULL")
-    return dedupe.with_provenance(w, "url_key", "web_source_id", [F.asc_nulls_first("authority_rank"), F.col("web_source_id")])
+    """One page per URL, by authority, with how many pages and rows led to it."""
+    return dedupe.with_provenance(_keyed(spark, d), "url_key", "web_source_id", [F.asc_nulls_first("authority_rank"), F.col("web_source_id")])
+
+
+def _keyed(spark: SparkSession, d: str) -> DataFrame:
+    return _bare(table(spark, d, "web_stages")).select("web_source_id", "authority_rank", S.url_key("url").alias("url_key")).where("url_key IS NOT NULL")
+
+
+@query(f"{_URLS} SELECT DISTINCT url_key, web_source_id FROM n WHERE url_key IS NOT NULL AND web_source_id IS NOT NULL")
+def url_provenance(spark, d):
+    """All pages that led to each URL, a row each."""
+    return dedupe.provenance(_keyed(spark, d), "url_key", "web_source_id")
 
 
 @query(rf"""SELECT regexp_replace(lower(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1)), '^www\.', '') AS host, coalesce({_known("source_type")}, 'other') AS source_type, count(*) AS n, count(DISTINCT web_source_id) AS n_sources FROM web_stages WHERE url IS NOT NULL GROUP BY 1, 2""")
