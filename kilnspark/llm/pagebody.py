@@ -170,7 +170,7 @@ def main_body(
 ) -> DataFrame:
     """(row_key, line_no): the non-blank lines of each text that belong to its main body; lines end at \\n, count from 1.
 
-    NULL, blank and no-data texts give no rows; neither do 'None' and 'Unavailable' alone. A text delivered twice under one key counts once (one
+    NULL, blank and no-data texts give no rows; neither do 'None' and 'Unavailable' alone (markers within 200 letters, blanks included). A text delivered twice under one key counts once (one
     delivery, the smallest text, is taken if they differ). A NULL host is a host of its own. Very long texts are read whole.
 
     A line is pruned if it is content with a likelihood below ``least_belief``; a branch, if its lines' mean content importance is below
@@ -185,7 +185,8 @@ def main_body(
 
     patterns = tuple(p for ps in forms.values() for p in ps)
     p = pages.select(F.col(f"`{key}`").cast("string").alias("row_key"), F.coalesce(F.col(f"`{host}`"), F.lit("")).alias("host"), F.col(f"`{text}`").alias("text"))
-    p = p.where(F.col("row_key").isNotNull() & present("text") & ~F.lower(F.trim("text")).isin("none", "unavailable"))
+    short = (F.length("text") <= 200) & (~present("text") | F.lower(F.trim("text")).isin("none", "unavailable"))  # markers are short; only those are looked at
+    p = p.where(F.col("row_key").isNotNull() & F.col("text").isNotNull() & ~short)
     p = p.groupBy("row_key").agg(F.min(F.struct("text", "host")).alias("p")).select("row_key", "p.host", "p.text")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
