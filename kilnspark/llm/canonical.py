@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.text import NO_DATA
+from ..sources.tables import checkpointed
 
 #: Trade abbreviations of words in reference names.
 ABBREVIATIONS = {
@@ -99,8 +100,8 @@ def map_to_canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
     without an entry are the anti-join of the forms with the matched ones.
     """
     t = typed(names)
-    keys = t.select("list_name", "form").distinct()
-    hits = match_keys(keys.where("form <> ''"), variants(reference))
+    keys = checkpointed(t.select("list_name", "form").distinct())  # both are read twice; they are small beside the rows
+    hits = checkpointed(match_keys(keys.where("form <> ''"), variants(reference)))
     none = keys.join(hits, ["list_name", "form"], "left_anti").selectExpr("list_name", "form", "-1L AS ref_id", "CAST(NULL AS INT) AS distance")
     return t.join(hits.unionByName(none), ["list_name", "form"]).drop("form")
 
