@@ -167,20 +167,16 @@ def _prepared(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(plain_digits(F.coalesce(c, F.lit("")))), rf"{BLANK}+", " "))
 
 
-def number_parts(c: Column) -> Column:
-    """array(digits and marks, exponent, rest) of a single amount; the first is '' for ranges, bounds and texts without a number in front."""
-    found = F.regexp_replace(_prepared(c), _NUMBER, "$1\u0001$2\u0001$3")
-    return F.when(found.contains("\u0001"), F.split(found, "\u0001")).otherwise(F.array(F.lit(""), F.lit(""), F.lit("")))
+def number_part(prepared: Column, part: int) -> Column:
+    """Digits and marks (1), exponent (2) or rest (3) of a single amount, from :func:`_prepared` text; '' for ranges, bounds and texts without a
+    number in front."""
+    return F.regexp_extract(prepared, _NUMBER, part)
 
 
-def amount(parts: Column) -> Column:
-    """The amount of :func:`number_parts`, commas read as thousands where they can be (1,234 is 1234; 10,4 and 0,123 are decimals); NULL
-    if none."""
-    return F.transform(F.array(F.struct(F.regexp_replace(parts[0], "[ ']", "").alias("t"), parts[1].alias("e"))), lambda x: _amount(x["t"], x["e"]))[0]
-
-
-def _amount(t: Column, e: Column) -> Column:
-    comma, dot = F.instr(t, ",") > 0, F.instr(t, ".") > 0
+def amount(t: Column, e: Column) -> Column:
+    """The amount of digits with marks and an exponent, commas read as thousands where they can be (1,234 is 1234; 10,4 and 0,123 are
+    decimals); NULL if none."""
+    comma, dot = t.contains(","), t.contains(".")
     plain = (
         F.when(~comma & ~dot, t)
         .when(comma & dot & (F.length(t) - F.instr(F.reverse(t), ",") < F.length(t) - F.instr(F.reverse(t), ".")), F.replace(t, F.lit(","), F.lit("")))
@@ -194,10 +190,9 @@ def _amount(t: Column, e: Column) -> Column:
     return F.concat(plain, e).try_cast("double")
 
 
-def amount_as_decimal(parts: Column) -> Column:
+def amount_as_decimal(t: Column) -> Column:
     """The amount with a lone comma read as the decimal mark; NULL where :func:`amount` has no doubt."""
-    t = F.regexp_replace(parts[0], "[ ']", "")
-    return F.when(t.rlike(r"^[1-9][0-9]{0,2},[0-9]{3}$"), F.replace(t, F.lit(","), F.lit(".")).try_cast("double"))
+    return F.when(t.contains(",") & t.rlike(r"^[1-9][0-9]{0,2},[0-9]{3}$"), F.replace(t, F.lit(","), F.lit(".")).try_cast("double"))
 
 
 def to_common(df: DataFrame, value: str, units: list[Column], quantities: list[str], out: str = "common", ceiling: Mapping[str, float] = CEILING) -> DataFrame:
@@ -213,23 +208,27 @@ def to_common(df: DataFrame, value: str, units: list[Column], quantities: list[s
     spark = df.sparkSession
     v = F.col(f"`{value}`")
     text = dict(df.dtypes)[value] == "string"
-    d = df.withColumn("__parts", number_parts(v)) if text else df  # each step reads the one before more than once, so none is computed twice
-    first = F.lit("")
-    if text:
-        d = d.withColumn("__key0", unit_key(F.col("__parts")[2]))
+    d, first = df, F.lit("")
+    if text:  # each step reads the one before more than once, so none is computed twice; rows without a digit have no amount and are not looked at
+        d = d.withColumn("__p", F.when(v.rlike("[0-9⁰¹²³⁴-⁹₀-₉]"), _prepared(v)).otherwise(""))
+        d = d.withColumns({"__t": F.regexp_replace(number_part(F.col("__p"), 1), "[ ']", ""), "__e": number_part(F.col("__p"), 2), "__rest": F.trim(number_part(F.col("__p"), 3))})
+        d = d.withColumn("__key0", F.when(F.col("__rest") != "", unit_key(F.col("__rest"))).otherwise(""))
         first = F.col("__key0")
+        some = F.col("__t") != ""
+    else:
+        some = v.isNotNull()
     for n, u in enumerate(units, 1):
-        d = d.withColumn(f"__key{n}", F.when(first != "", first).otherwise(unit_key(u)))
+        d = d.withColumn(f"__key{n}", F.when(first != "", first).when(some, unit_key(u)).otherwise(""))
         first = F.col(f"__key{n}")
-    plain = amount(F.col("__parts")) if text else F.when(~F.isnan(v), v.cast("double"))
-    other = amount_as_decimal(F.col("__parts")) if text else F.lit(None).cast("double")
+    plain = amount(F.col("__t"), F.col("__e")) if text else F.when(~F.isnan(v), v.cast("double"))
+    other = amount_as_decimal(F.col("__t")) if text else F.lit(None).cast("double")
     d = d.withColumns({"__key": F.when(first != "", first), "__plain": plain, "__other": other})
     t = unit_table(spark).where(F.col("quantity").isin(*quantities)).select(F.col("unit_key").alias("__unit"), F.col("quantity").alias("__q"), F.col("a").alias("__a"), F.col("b").alias("__b"))
     d = d.join(F.broadcast(t), F.col("__key") == F.col("__unit"), "left")  # the unit table is bounded by configuration
     most = F.element_at(F.create_map(*[x for q, c in ceiling.items() for x in (F.lit(q), F.lit(c))]), F.col("__q")) if ceiling else F.lit(None)
     best = F.when((F.col("__a") * F.col("__plain") + F.col("__b") > most) & F.col("__other").isNotNull(), F.col("__other")).otherwise(F.col("__plain"))
     d = d.withColumn(f"{out}_value", F.col("__a") * best + F.col("__b"))
-    return d.withColumn(f"{out}_quantity", F.when(F.col(f"{out}_value").isNotNull(), F.col("__q"))).drop("__key", "__plain", "__other", "__unit", "__q", "__a", "__b", "__parts", "__key0", *[f"__key{n}" for n in range(1, len(units) + 1)])
+    return d.withColumn(f"{out}_quantity", F.when(F.col(f"{out}_value").isNotNull(), F.col("__q"))).drop("__key", "__plain", "__other", "__unit", "__q", "__a", "__b", "__p", "__t", "__e", "__rest", "__key0", *[f"__key{n}" for n in range(1, len(units) + 1)])
 
 
 def noted_unit(notes: Column, topic: str) -> Column:
