@@ -169,3 +169,11 @@ def year_of(columns: Sequence[Column | str], doi: Column | str, default: str = "
     loose = F.regexp_extract(d, r"[a-z._/-]((?:19|20)[0-9]{2})(?:[^0-9]|$)", 1)
     inferred = F.when(part != "", part).when(loose != "", loose)
     return F.struct(F.coalesce(own.cast("string"), inferred, F.lit(default)).alias("year"), F.when(own.isNotNull(), "metadata").when(inferred.isNotNull(), "doi_inferred").otherwise("not_reported").alias("year_source"))
+
+
+def value_parts(c: Column | str) -> Column:
+    """struct(number_part, unit_part): the number in front of a value, behind signs and words of approximation, and what trails it; '' for
+    what isn't there."""
+    v = F.replace(_c(c), F.lit("\u00a0"), F.lit(" "))
+    lead = r"^[~+<> ]*(?:approx\. |ca\. |up to )?"
+    return F.struct(F.regexp_extract(v, lead + r"([0-9][0-9.,]*)", 1).alias("number_part"), F.trim(F.regexp_extract(v, lead + r"[0-9][0-9.,]*(?:e[+-][0-9]+)?[ ]?([^0-9 -].*)$", 1)).alias("unit_part"))

@@ -192,3 +192,21 @@ def qc_rows(df: DataFrame, key: str, rules: Mapping[str, Column]) -> DataFrame:
     """(key, reasons, n_reasons): rows that one rule or more flags, with the rules' names in order."""
     r = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]))
     return df.select(key, r.alias("r")).where("size(r) > 0").select(key, F.array_join("r", ", ").alias("reasons"), F.size("r").alias("n_reasons"))
+
+
+def field_search(df: DataFrame, terms: Mapping[str, Sequence[tuple[str, float]]]) -> DataFrame:
+    """Rows with ``score`` > 0: the weights of the terms (in lower case) that each field holds, summed up."""
+    score = sum((F.when(F.lower(F.coalesce(f, F.lit(""))).contains(t), float(w)).otherwise(0.0) for f, ts in terms.items() for t, w in ts), F.lit(0.0))
+    return df.withColumn("score", score).where("score > 0")
+
+
+def multi_query(df: DataFrame, key: str, text: str, queries: Sequence[str], most: int) -> DataFrame:
+    """(key, hits, query_no): the ``most`` best rows of each query by how often its term stands in the text (ties: the smaller key), each key with
+    its best query. All queries are answered in one pass; the rank filter prunes before the shuffle."""
+    from .ranking import best_per_key, top_per_group
+
+    t = F.lower(F.coalesce(text, F.lit("")))
+    hits = [F.struct(F.lit(i).alias("query_no"), ((F.length(t) - F.length(F.replace(t, F.lit(q), F.lit("")))) / len(q)).cast("int").alias("hits")) for i, q in enumerate(queries, 1)]
+    h = df.select(key, F.explode(F.array(*hits)).alias("h")).select(key, "h.*").where("hits > 0")
+    top = top_per_group(h, ["query_no"], [F.desc("hits"), F.col(key)], most)
+    return best_per_key(top.drop("rank_no"), [key], [F.desc("hits"), F.col("query_no")])

@@ -126,3 +126,10 @@ def fold(df: DataFrame, key: str, fields: Sequence[str], order: str, source: str
     )
     promoted = (F.col("options") > 1) & (F.col("top.value") != F.col("kept.value"))
     return g.select(key, "field", F.when(promoted, F.col("top.value")).otherwise(F.col("kept.value")).alias("value"), promoted.alias("promoted"), F.col("kept.votes").alias("sources"), (F.col("all") - F.col("kept.votes")).alias("conflicts"))
+
+
+def candidates(df: DataFrame, name: str, source: str) -> DataFrame:
+    """(name_key, n_rows, n_sources, longest): names by their folded key, with rows, distinct sources and the longest spelling (ties: the larger);
+    missing names are none."""
+    d = df.where(present(name))
+    return d.groupBy(key_fold(name).alias("name_key")).agg(F.count("*").alias("n_rows"), F.countDistinct(source).alias("n_sources"), F.max(F.struct(F.length(name).alias("l"), F.col(name).alias("v")))["v"].alias("longest"))

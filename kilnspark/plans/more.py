@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import normalise as N
 from ..functions import scalars as S
 from ..functions import spans as SP
 from ..functions.text import known, present
-from ..operators import matching, quality, ranking, taxonomy
+from ..operators import matching, quality, ranking, records, taxonomy
 from ..sources.tables import scratch, table
 from ..streaming import incremental
 from .reference import LEVELS, _fold, _has, _known, _path_sql, _year
@@ -37,8 +38,7 @@ def missing_sentinels(spark, d):
 FROM (SELECT DISTINCT record_id, lower(trim(coalesce(deployment_stage, ''))) AS s, {_year("project_year")} AS year FROM cementitious)""")
 def stage_and_year(spark, d):
     """Deployment stages in four words, project years as numbers."""
-    s = F.lower(F.trim(F.coalesce("deployment_stage", F.lit(""))))
-    stage = F.when(s.rlike("pilot"), "Pilot").when(s.rlike("demo"), "Demonstration").when(s.rlike("commerc|industrial"), "Commercial").when(s.rlike("^lab"), "Laboratory").otherwise("N.A.")
+    stage = N.first_pattern(F.lower(F.trim(F.coalesce("deployment_stage", F.lit("")))), [("pilot", "Pilot"), ("demo", "Demonstration"), ("commerc|industrial", "Commercial"), ("^lab", "Laboratory")], "N.A.")
     return table(spark, d, "cementitious").select("record_id", stage.alias("stage"), S.year_in("project_year").alias("year")).distinct()
 
 
@@ -46,9 +46,8 @@ def stage_and_year(spark, d):
 FROM (SELECT record_id, replace(compressive_strength_value, chr(160), ' ') AS v FROM cementitious WHERE compressive_strength_value IS NOT NULL)""")
 def metric_value_split(spark, d):
     """Values split into a number and a unit that trails it."""
-    v = F.replace("compressive_strength_value", F.lit("\u00a0"), F.lit(" "))
-    lead = r"^[~+<> ]*(?:approx\. |ca\. |up to )?"
-    return table(spark, d, "cementitious").where("compressive_strength_value IS NOT NULL").select("record_id", F.regexp_extract(v, lead + r"([0-9][0-9.,]*)", 1).alias("number_part"), F.trim(F.regexp_extract(v, lead + r"[0-9][0-9.,]*(?:e[+-][0-9]+)?[ ]?([^0-9 -].*)$", 1)).alias("unit_part")).distinct()
+    p = N.value_parts("compressive_strength_value")
+    return table(spark, d, "cementitious").where("compressive_strength_value IS NOT NULL").select("record_id", p.alias("p")).select("record_id", "p.number_part", "p.unit_part").distinct()
 
 
 _QC = {
@@ -65,8 +64,7 @@ def qc_reasons(spark, d):
         "no_source": ~present("source_id"), "no_evidence": ~present("evidence_text"), "no_title": ~present("source_title"), "no_technology": ~present("raw_technology_name"), "value_without_unit": present("compressive_strength_value") & ~present("compressive_strength_unit"),
         "low_confidence": low, "marked_duplicate": F.lower(F.coalesce("duplicate_status", F.lit(""))).contains("duplicate"),
     }
-    reasons = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in tests.items()]))
-    return table(spark, d, "cementitious").select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    return records.warnings(table(spark, d, "cementitious"), "record_id", tests).groupBy(F.col("warning").alias("reason")).agg(F.count("*").alias("n"))
 
 
 _TERMS = ("percent", "emissions", "replaced", "strength")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.text import known, present
-from ..operators import dedupe, merging, quality, ranking, reshape, scoring, taxonomy
+from ..operators import dedupe, lexicon, merging, quality, ranking, records, reshape, scoring, taxonomy
 from ..sources.tables import table
 
 TIERS = {
@@ -246,8 +246,7 @@ def retrieval_coverage(spark, d):
 FROM scm_discovery WHERE {_has("raw_material_name")} GROUP BY 1""")
 def candidate_aggregate(spark, d):
     """Names by folded key: rows, distinct sources, the longest spelling (ties: the larger)."""
-    s = table(spark, d, "scm_discovery").where(present("raw_material_name"))
-    return s.groupBy(S.key_fold("raw_material_name").alias("name_key")).agg(F.count("*").alias("n_rows"), F.countDistinct("source_id").alias("n_sources"), F.max(F.struct(F.length("raw_material_name"), "raw_material_name"))["raw_material_name"].alias("longest"))
+    return records.candidates(table(spark, d, "scm_discovery"), "raw_material_name", "source_id")
 
 
 @query(f"""WITH v AS (SELECT {_fold("raw_technology_name")} AS k, trim(raw_technology_name) AS alias, count(*) AS n FROM cementitious WHERE {_has("raw_technology_name")} GROUP BY 1, 2)
@@ -589,22 +588,16 @@ k AS (SELECT * FROM h WHERE hits > 0 QUALIFY row_number() OVER (PARTITION BY que
 SELECT doc_id, max(hits)::INT AS hits FROM k GROUP BY 1""")
 def multi_query_topk(spark, d):
     """The 40 best documents of each query, the best score per document."""
-    t = F.lower(F.coalesce("text", F.lit("")))
-    terms = ["silica fume", "kiln", "emissions"]
-    hits = F.explode(F.array(*[F.struct(F.lit(i).alias("query_no"), ((F.length(t) - F.length(F.replace(t, F.lit(x), F.lit("")))) / len(x)).cast("int").alias("hits")) for i, x in enumerate(terms, 1)]))
-    h = table(spark, d, "documents").select("doc_id", hits.alias("h")).select("doc_id", "h.*").where("hits > 0")
-    k = ranking.top_per_group(h, ["query_no"], [F.desc("hits"), F.col("doc_id")], 40)
-    return k.groupBy("doc_id").agg(F.max("hits").alias("hits"))
+    return lexicon.multi_query(table(spark, d, "documents"), "doc_id", "text", ["silica fume", "kiln", "emissions"], 40).select("doc_id", "hits")
 
 
-@query(f"""SELECT record_id, (CASE WHEN contains(lower(coalesce(canonical_technology_name, '')), 'capture') THEN 10 ELSE 0 END + CASE WHEN contains(lower(coalesce(company_or_organization, '')), 'carbon') THEN 6 ELSE 0 END + CASE WHEN contains(lower(coalesce(notes, '')), 'annex') THEN 4 ELSE 0 END)::INT AS score
+@query(f"""SELECT record_id, (CASE WHEN contains(lower(coalesce(canonical_technology_name, '')), 'capture') THEN 10 ELSE 0 END + CASE WHEN contains(lower(coalesce(canonical_technology_name, '')), 'kiln') THEN 4 ELSE 0 END + CASE WHEN contains(lower(coalesce(company_or_organization, '')), 'carbon') THEN 6 ELSE 0 END + CASE WHEN contains(lower(coalesce(notes, '')), 'annex') THEN 4 ELSE 0 END)::INT AS score
 FROM (SELECT DISTINCT record_id, canonical_technology_name, company_or_organization, notes FROM cementitious) WHERE score > 0""")
 def field_search(spark, d):
     """Weighted search over fields."""
-    weights = {"canonical_technology_name": ("capture", 10), "company_or_organization": ("carbon", 6), "notes": ("annex", 4)}
-    c = table(spark, d, "cementitious").select("record_id", *weights).distinct()
-    score = sum((F.when(F.lower(F.coalesce(f, F.lit(""))).contains(t), w).otherwise(0) for f, (t, w) in weights.items()), F.lit(0))
-    return c.select("record_id", score.alias("score")).where("score > 0")
+    terms = {"canonical_technology_name": [("capture", 10), ("kiln", 4)], "company_or_organization": [("carbon", 6)], "notes": [("annex", 4)]}
+    c = table(spark, d, "cementitious").select("record_id", *terms).distinct()
+    return lexicon.field_search(c, terms).select("record_id", F.col("score").cast("int").alias("score"))
 
 
 @query(f"""SELECT category, evidence_origin, grouping(category, evidence_origin)::INT AS level, count(*) AS n FROM cementitious GROUP BY GROUPING SETS ((category, evidence_origin), (category), ())""")
