@@ -197,7 +197,7 @@ def near_tokens(tokens: DataFrame, most: int = 1, least: int = 5) -> DataFrame:
     drop = "transform(sequence(1, length({0})), i -> concat(left({0}, i - 1), substr({0}, i + 1)))"
     once = drop.format("t")
     stubs = f"array_append({once}, t)" if most == 1 else f"array_append(array_union({once}, flatten(transform({once}, s -> {drop.format('s')}))), t)"
-    idx = tokens.where(F.length("t") >= least).selectExpr("trade", "t", f"explode(array_distinct({stubs})) AS stub")
+    idx = spread(tokens.where(F.length("t") >= least)).selectExpr("trade", "t", f"explode(array_distinct({stubs})) AS stub")
     pairs = idx.join(idx.withColumnRenamed("t", "u"), ["trade", "stub"]).where("t < u").select("trade", "t", "u").distinct()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -224,24 +224,23 @@ def near_keys(keys: DataFrame, most: int = 1) -> DataFrame:
     words = F.split("proper", " ")
     several = F.size(words) > 1
     joined = F.regexp_replace("proper", " ", "")
-    tok = checkpointed(keys.select("id", "trade", F.explode(F.array_distinct(F.when(several, F.array_append(words, joined)).otherwise(words))).alias("t"), several.alias("several"), joined.alias("joined")))
+    me = F.struct("id", "proper", "given", "legal")  # travels with its tokens, so that pairs need no look-up afterwards
+    tok = checkpointed(keys.select(me.alias("me"), "trade", F.explode(F.array_distinct(F.when(several, F.array_append(words, joined)).otherwise(words))).alias("t"), several.alias("several"), joined.alias("joined")))
     vocabulary = tok.groupBy("trade", "t").agg(F.count("*").alias("df"))
     beside = checkpointed(near_tokens(vocabulary.select("trade", "t"), most))
     weight = beside.join(vocabulary.withColumnRenamed("t", "u"), ["trade", "u"]).groupBy("trade", "t").agg(F.sum("df").alias("df"))
-    ranked = tok.join(weight, ["trade", "t"])
     whole = F.col("several") & (F.col("t") == F.col("joined"))
-    order = F.row_number().over(W.partitionBy("id").orderBy("whole", "df", "t"))
-    ranked = checkpointed(ranked.withColumn("whole", whole).withColumn("rank", order).select("id", "trade", "t", "several", "whole", "rank"))
-    looks = ranked.where("rank = 1 OR whole").select(F.col("id").alias("a"), "trade", "t")
-    met = looks.join(beside, ["trade", "t"]).select("a", "trade", "u").join(ranked.select(F.col("id").alias("b"), "trade", F.col("t").alias("u")), ["trade", "u"]).select("a", "b")
-    others = keys.where(several).select("id", words.alias("w"))
-    begun = ranked.where("several AND NOT whole AND rank <= 2").join(others, "id")
-    begun = begun.select("id", "trade", "t", F.array_join(F.array_sort(F.transform(F.array_remove("w", F.col("t")), lambda x: F.left(x, F.lit(1)))), "").alias("initials"))
-    same = begun.withColumnRenamed("id", "a").join(begun.withColumnRenamed("id", "b"), ["trade", "t", "initials"]).select("a", "b")
-    ids = met.unionAll(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-    side = lambda x: keys.select(F.col("id").alias(x), F.col("proper").alias(f"p{x}"), F.col("given").alias(f"g{x}"), F.col("legal").alias(f"l{x}"))
-    pairs = ids.join(side("a"), "a").join(side("b"), "b")
-    pairs = pairs.where("(la = lb OR la = '' OR lb = '') AND (left(ga, 1) = left(gb, 1) OR ga = '' OR gb = '')").select("a", "b", "pa", "pb", "ga", "gb")
+    order = F.row_number().over(W.partitionBy("me.id").orderBy("whole", "df", "t"))
+    ranked = checkpointed(tok.join(weight, ["trade", "t"]).withColumn("whole", whole).withColumn("rank", order).select("me", "trade", "t", "several", "whole", "rank"))
+    looks = ranked.where("rank = 1 OR whole").select(F.col("me").alias("x"), "trade", "t")
+    met = looks.join(beside, ["trade", "t"]).select("x", "trade", "u").join(ranked.select(F.col("me").alias("y"), "trade", F.col("t").alias("u")), ["trade", "u"]).select("x", "y")
+    begun = ranked.where("several AND NOT whole AND rank <= 2")
+    rest = F.array_remove(F.split("me.proper", " "), F.col("t"))
+    begun = begun.select("me", "trade", "t", F.array_join(F.array_sort(F.transform(rest, lambda w: F.left(w, F.lit(1)))), "").alias("initials"))
+    same = begun.withColumnRenamed("me", "x").join(begun.withColumnRenamed("me", "y"), ["trade", "t", "initials"]).select("x", "y")
+    agree = "(x.legal = y.legal OR x.legal = '' OR y.legal = '') AND (left(x.given, 1) = left(y.given, 1) OR x.given = '' OR y.given = '')"
+    pairs = met.where(f"x.id <> y.id AND {agree}").unionAll(same.where(f"x.id < y.id AND {agree}")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    pairs = pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.proper").alias("pa"), F.col("y.proper").alias("pb"), F.col("x.given").alias("ga"), F.col("y.given").alias("gb"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
@@ -274,26 +273,24 @@ def partners(a: list[str], b: list[str], most: int) -> list[tuple[str, str]]:
     return [(a[0], b[j] if aligned(a[:1], [b[j]], most) else ""), *partners(a[1:], rest[j], most)]
 
 
-def components(ids: DataFrame, links: DataFrame, rounds: int = 20) -> DataFrame:
+def components(ids: DataFrame, links: DataFrame) -> DataFrame:
     """(id, label): the smallest id that each id is linked with, directly or not.
 
-    Each round takes the smallest label among neighbours and then that label's own label; it ends when nothing changes.
-    Labels are written to the checkpoint folder each round, so lost executors cost no more than a round.
+    Each round takes the smallest label among neighbours and then that label's own label, so paths shrink by half; it ends when nothing changes.
+    Only ids with a link take part; the others are their own label. Labels are written to the checkpoint folder each round, so lost executors
+    cost no more than a round.
     """
     both = checkpointed(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = ids.select("id", F.col("id").alias("label"))
-    labels = checkpointed(labels)
-    for _ in range(rounds):
+    labels = checkpointed(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("label")))
+    while True:
         seen = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("other"))
-        step = labels.join(seen, labels["id"] == seen["a"], "left").select("id", F.least("label", F.coalesce("other", "label")).alias("label"), F.col("label").alias("was"))
+        step = labels.join(seen, labels["id"] == seen["a"]).select("id", F.least("label", "other").alias("label"), F.col("label").alias("was"))
         up = labels.select(F.col("id").alias("p"), F.col("label").alias("pl"))
-        step = step.join(up, step["label"] == up["p"], "left").select("id", F.least("label", F.coalesce("pl", "label")).alias("label"), "was")
-        step = checkpointed(step)
-        changed = step.where("label <> was").limit(1).count()
+        step = checkpointed(step.join(up, step["label"] == up["p"]).select("id", F.least("label", "pl").alias("label"), "was"))
+        changed = not step.where("label <> was").isEmpty()
         labels = step.select("id", "label")
         if not changed:
-            return labels
-    raise RuntimeError("components did not settle; allow more rounds")
+            return ids.select("id").join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
 
 
 def link_names(columns: list[tuple[DataFrame, str]], most: int = 1, words: Mapping[str, str] = WORDS) -> DataFrame:
