@@ -28,8 +28,8 @@ def _values(rows) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else f"{x}" for x in r) + ")" for r in rows) + ")"
 
 
-@query("""SELECT * FROM (VALUES (1, 'cement replacement', 2.5, 'synonym'), (2, 'low emissions', 3.0, 'query'), (3, 'ash mortar', 3.0, 'query'), (4, 'mortar for', 3.0, 'query'), (5, 'emissions', 1.0, 'query'), (6, 'pozzolan', 2.0, 'synonym'), (7, 'fly ash', 3.0, 'query'), (8, 'for low', 3.0, 'query'), (9, 'binder', 0.5, 'synonym'), (10, 'mortar', 1.0, 'query'), (11, 'ash', 1.0, 'query'), (12, 'fly', 1.0, 'query'), (13, 'for', 1.0, 'query'), (14, 'low', 1.0, 'query')) AS t(place, phrase, weight, source)
-UNION ALL SELECT 0, 'fly ash in mortar for low emissions', 5.0, 'query'""")
+@query("""SELECT place, phrase, weight::DOUBLE AS weight, source FROM (VALUES (1, 'cement replacement', 2.5, 'synonym'), (2, 'low emissions', 3.0, 'query'), (3, 'ash mortar', 3.0, 'query'), (4, 'mortar for', 3.0, 'query'), (5, 'emissions', 1.0, 'query'), (6, 'pozzolan', 2.0, 'synonym'), (7, 'fly ash', 3.0, 'query'), (8, 'for low', 3.0, 'query'), (9, 'binder', 0.5, 'synonym'), (10, 'mortar', 1.0, 'query'), (11, 'ash', 1.0, 'query'), (12, 'fly', 1.0, 'query'), (13, 'for', 1.0, 'query'), (14, 'low', 1.0, 'query')) AS t(place, phrase, weight, source)
+UNION ALL SELECT 0, 'fly ash in mortar for low emissions', 5.0::DOUBLE, 'query'""")
 def compiled_context(spark, d):
     """A query compiled to weighted phrases, longest first (the rows are worked out by hand)."""
     return spark.createDataFrame([(i, p, w, s) for i, (p, w, s) in enumerate(CONTEXT)], "place int, phrase string, weight double, source string")
