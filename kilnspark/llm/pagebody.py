@@ -242,6 +242,7 @@ def main_body(
     whole = checkpointed(whole.select("row_key", *[F.col(f"lines.{c}").alias(c) for c in ("line_no", "kind", "importance", "known", "short", "bullet", "form0", "form1", "form2")]))
 
     tree = Tree(covered if patterns else 0.0)
+    all_lines = whole.agg(F.sum(F.size("line_no"))).first()[0] or 0
     for _ in range(rounds):
 
         def beside(batches: Iterator[pd.DataFrame], tree: Tree = tree) -> Iterator[pd.DataFrame]:
@@ -261,8 +262,6 @@ def main_body(
                 yield pd.DataFrame({"form": form, "total": np.bincount(at.ravel(), x, len(form)), "n": np.bincount(at.ravel(), minlength=len(form))})
 
         sums = whole.mapInPandas(beside, "form long, total double, n long").groupBy("form").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-        sums = checkpointed(sums)
-        all_lines = (sums.agg(F.sum("n")).first()[0] or 0) / 3
         found = sums.where(F.col("n") >= share * all_lines).toPandas()  # at most 3 / share rows
         step = Tree(covered if patterns else 0.0)
         step.learn(found["form"].to_numpy("int64"), found["total"].to_numpy("float64"), found["n"].to_numpy("float64"))
@@ -298,10 +297,9 @@ def menu_words(words: DataFrame, menus: DataFrame, share: float = 0.004) -> list
     ``words`` counts (host, line) words by pages, ``menus`` the pages of a host that have a menu. At most the mean number of
     words a menu / ``share`` come back.
     """
-    total = menus.agg(F.sum("menus")).first()[0]
-    if not total:
-        return []
-    return [r[0] for r in words.groupBy("line").agg(F.sum("n").alias("n")).where(F.col("n") >= max(1.0, share * total)).select("line").collect()]
+    total = menus.agg(F.sum("menus").alias("total"))
+    often = words.groupBy("line").agg(F.sum("n").alias("n")).crossJoin(F.broadcast(total)).where(F.col("n") >= F.greatest(F.lit(1.0), share * F.col("total")))  # one row on the right
+    return [r[0] for r in often.select("line").collect()]
 
 
 def page_bodies(web: DataFrame, sources: DataFrame) -> DataFrame:
