@@ -225,7 +225,7 @@ def near_keys(keys: DataFrame, most: int = 1) -> DataFrame:
     several = F.size(words) > 1
     joined = F.regexp_replace("proper", " ", "")
     me = F.struct("id", "proper", "given", "legal")  # travels with its tokens, so that pairs need no look-up afterwards
-    tok = checkpointed(keys.select(me.alias("me"), "trade", F.explode(F.array_distinct(F.when(several, F.array_append(words, joined)).otherwise(words))).alias("t"), several.alias("several"), joined.alias("joined")))
+    tok = keys.select(me.alias("me"), "trade", F.explode(F.array_distinct(F.when(several, F.array_append(words, joined)).otherwise(words))).alias("t"), several.alias("several"), joined.alias("joined"))
     vocabulary = tok.groupBy("trade", "t").agg(F.count("*").alias("df"))
     beside = checkpointed(near_tokens(vocabulary.select("trade", "t"), most))
     weight = beside.join(vocabulary.withColumnRenamed("t", "u"), ["trade", "u"]).groupBy("trade", "t").agg(F.sum("df").alias("df"))
