@@ -59,16 +59,29 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d+(?:[.,]\d+)*|[^\w\s]")
 _LABEL = re.compile(r"^[A-Z][^0-9.,:;!?©]{0,25}$")
 
 
+def needle(pattern: str) -> str:
+    """A text, in lower case, that stands in whatever a pattern matches; '' if the pattern doesn't show any."""
+    p = re.sub(r"\\[^A-Za-z]", ".", pattern)
+    while (q := re.sub(r"\([^()]*\)[?*]?", ".", p)) != p:
+        p = q
+    if "|" in p or "[" in p:
+        return ""
+    p = re.sub(r"\\[A-Za-z][?*+]?|.[?*]", ".", p)  # classes, and what may be missing
+    return max((x for x in re.split(r"[.^$+]", p)), key=len).lower()
+
+
 @cache
-def _patterns(forms: tuple[str, ...]) -> tuple[re.Pattern, re.Pattern]:
-    never = r"(?!)"
-    return re.compile("|".join(p[1:] for p in forms if p[0] == "^") or never, re.I), re.compile("|".join(p for p in forms if p[0] != "^") or never, re.I)
+def _patterns(forms: tuple[str, ...]) -> tuple[re.Pattern, tuple[tuple[str, re.Pattern], ...]]:
+    """One pattern for starts of lines, and the others with what to look for before they are tried."""
+    starts = re.compile("|".join(p[1:] for p in forms if p[0] == "^") or r"(?!)", re.I)
+    return starts, tuple((needle(p), re.compile(p, re.I)) for p in forms if p[0] != "^")
 
 
 def first_kind(s: str, forms: tuple[str, ...]) -> tuple[int, list[str]]:
     """The kind of a stripped line by itself, and its cells if it looks like a menu of several."""
     at_start, anywhere = _patterns(forms)
-    if at_start.match(s) or anywhere.search(s):
+    low = s.lower()
+    if at_start.match(s) or any(n in low and p.search(s) for n, p in anywhere):
         return NOISE, []
     cells = [c for c in _CELLS.split(s) if c] if "|" in s or "·" in s or "   " in s or "\t" in s else []
     if len(cells) > 1 and "|" in s and any(ch.isdigit() for ch in s):

@@ -139,6 +139,9 @@ def test_page_kinds_and_forms():
     found = P.settle(kinds, [s in menu for s in page], [s[0] == "-" for s in page])
     assert [P.KINDS[k] for k in found] == ["menu", "menu", "menu", "prose", "heading", "list", "head", "table", "menu", "prose", "furniture", "prose", "prose"]
     assert P.first_kind("Share this nice article", ())[0] == P.PROSE
+    assert [P.needle(p) for p in (r"\bcookies?\b.*(?:a|b)", r"(?:…|\.\.\.)\s*read more\b", r"full story \(members only\)$", r"\b\d+ min read$", r"a|b", r"withdraw (?:your )?consent")] == ["cookie", "read more", "members only", " min read", "", "withdraw "]
+    for p in (p for ps in P.FURNITURE.values() for p in ps if p[0] != "^"):
+        assert P.needle(p), p
     assert P.branches([P.HEADING, P.NOISE, P.LIST, P.LIST, P.PROSE], [True] * 4 + [False])[0] == [1, -2, 1, 1, 2]
 
 
