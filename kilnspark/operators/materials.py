@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import checkpointed
+
 #: Ranks of a lexicon's kinds of terms: a lower one decides first.
 KINDS = {"display": 0, "variant": 1, "synonym": 2, "cue": 3}
 
@@ -147,9 +149,10 @@ def map_names(names: DataFrame, lex: DataFrame, senses: DataFrame, artefacts: Se
     """
     d = compatible(names.withColumn("__n", F.coalesce("name", F.lit(""))), "__n").withColumn("clean", clean_name(F.col("__n"))).drop("__n").withColumn("key", match_key(F.col("clean")))
     d = d.withColumn("__skip", F.when(is_artefact(F.col("clean"), artefacts, keywords), "artefact").when(is_sample_code(F.col("clean"), keywords), "sample_id"))
+    d = checkpointed(d)  # distinct names, read four times below
     look = d.where("__skip IS NULL")
     abbr = look.join(senses.select("key").distinct(), "key", "left_semi").select("key", "context").distinct()
-    hits = lexicon_hits(look.select("key").unionAll(senses.select(F.col("sense_key").alias("key"))), lex)
+    hits = checkpointed(lexicon_hits(look.select("key").unionAll(senses.select(F.col("sense_key").alias("key"))), lex))
     a = resolve_abbreviations(abbr, senses, hits).select("key", "context", F.col("how").alias("a_how"), F.col("sense").alias("a_sense"), F.col("leaf").alias("a_leaf"), F.col("parent").alias("a_parent"))
     d = d.join(hits.select("key", F.col("how").alias("h_how"), F.col("kind").alias("h_kind"), F.col("leaf").alias("h_leaf"), F.col("parent").alias("h_parent"), F.col("variant").alias("h_variant")), "key", "left").join(a, ["key", "context"], "left")
     soft = d.where("__skip IS NULL AND a_how IS NULL AND h_how IS NULL").select("context").distinct()
